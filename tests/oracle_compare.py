@@ -1,0 +1,68 @@
+"""Compare registered queries with their SQL in DuckDB, value by value.
+
+Run as a script: ``python tests/oracle_compare.py [sf_dir] [query ...]``.
+"""
+
+from __future__ import annotations
+
+import glob
+import os
+import sys
+import time
+from collections import Counter
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import __spark_entry__ as contract  # noqa: E402
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return connection
+
+
+def rows_of(columns: list[str], rows: list[tuple]) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(row[i] for i in order) for row in rows)
+
+
+def compare(spark, connection, sf_dir: str, name: str) -> tuple[int, str]:
+    """Row count and an empty text, or what differs."""
+    df = contract.queries()[name](spark, sf_dir)
+    mine = df.collect()
+    sql = contract.oracle_sql().get(name)
+    if sql is None:
+        return len(mine), ""
+    relation = connection.sql(sql)
+    if sorted(df.columns) != sorted(relation.columns):
+        return len(mine), f"columns {sorted(df.columns)} != {sorted(relation.columns)}"
+    left = rows_of(df.columns, [tuple(r) for r in mine])
+    right = rows_of(relation.columns, relation.fetchall())
+    if left != right:
+        only_left, only_right = left - right, right - left
+        return len(mine), (
+            f"{sum(only_left.values())} only in Spark, {sum(only_right.values())} only in SQL: "
+            f"{list(only_left)[:2]} / {list(only_right)[:2]}"
+        )
+    return len(mine), ""
+
+
+if __name__ == "__main__":
+    from retalake.session import local_session
+
+    session = local_session(cpus="8")
+    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    wanted = sys.argv[2:] or list(contract.queries())
+    base = duck(folder)
+    for query in wanted:
+        start = time.time()
+        try:
+            count, problem = compare(session, base, folder, query)
+        except Exception as error:  # noqa: BLE001
+            count, problem = -1, f"{type(error).__name__}: {str(error)[:600]}"
+        print(f"{query}: {count} rows, {time.time() - start:.1f}s {problem or 'ok'}", flush=True)
