@@ -39,12 +39,13 @@ def sale_timestamp(text: Column, strict: bool = False) -> Column:
 
 def comma_decimal(text: Column, strict: bool = False) -> Column:
     """Float from text whose decimal separator is a comma."""
-    return _convert(F.translate(text, ",", "."), "float", strict)
+    return _convert(F.replace(text, F.lit(","), F.lit(".")), "float", strict)
 
 
 def percent_fraction(text: Column, strict: bool = False) -> Column:
     """Fraction as double from text such as ``11%``."""
-    return _convert(F.translate(text, "%", ""), "float", strict) / F.lit(100)
+    number = F.replace(text, F.lit("%"), F.lit(""))
+    return _convert(number, "float", strict) / F.lit(100)
 
 
 def full_name(first: Column, last: Column, trim_parts: bool = True) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retalake.operators.keys import dense_id
 from retalake.schemas import DIMENSIONS, FACT, FACT_TABLE, STAGING_TABLE, Dimension
-from retalake.session import Scratch
+from retalake.session import Scratch, together
 from retalake.sources.warehouse import drop_star
 
 # Natural key columns that the literal lookups leave out.
@@ -22,6 +24,16 @@ def build_dim(sales: DataFrame, dim: Dimension, scratch: Scratch) -> DataFrame:
     return dense_id(sales.select(*dim.key).distinct(), dim.id, scratch, order=dim.key)
 
 
+def written_dims(sales: DataFrame, scratch: Scratch) -> dict[str, DataFrame]:
+    """All dimensions, written to the scratch folder."""
+
+    def write(dim: Dimension) -> DataFrame:
+        return scratch.save(build_dim(sales, dim, scratch), dim.table)
+
+    rows = together(sales.sparkSession, [partial(write, dim) for dim in DIMENSIONS])
+    return {dim.table: df for dim, df in zip(DIMENSIONS, rows)}
+
+
 def _lookup(sales: DataFrame, rows: DataFrame, dim: Dimension, legacy_keys: bool) -> DataFrame:
     """Swap the natural key of one dimension for its id.
 
@@ -84,9 +96,12 @@ def rebuild_star(spark: SparkSession, database: str, legacy_keys: bool = False)
     sales = spark.table(f"{database}.{STAGING_TABLE}")
     drop_star(spark, database)
     with Scratch(spark) as scratch:
-        for dim in DIMENSIONS:
+
+        def write(dim: Dimension) -> None:
             rows = build_dim(sales, dim, scratch)
             rows.write.format("parquet").saveAsTable(f"{database}.{dim.table}")
+
+        together(spark, [partial(write, dim) for dim in DIMENSIONS])
     dims = {d.table: spark.table(f"{database}.{d.table}") for d in DIMENSIONS}
     fact = build_fact(sales, dims, legacy_keys)
     fact.write.format("parquet").saveAsTable(f"{database}.{FACT_TABLE}")

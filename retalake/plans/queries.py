@@ -14,7 +14,7 @@ from retalake.operators import checks
 from retalake.operators.gold import to_gold
 from retalake.operators.keys import dense_id
 from retalake.operators.silver import deduplicated, defaults_filled, to_silver, typed, with_year
-from retalake.operators.star import build_dim, build_fact, rebuild_star, year_as_text
+from retalake.operators.star import build_dim, build_fact, rebuild_star, written_dims, year_as_text
 from retalake.plans.jobs import Lake, run_batch
 from retalake.plans.sales import raw_sales, table
 from retalake.schemas import (
@@ -239,9 +239,7 @@ def _star(
     """Fact over written gold and written dimensions."""
     scratch = Scratch(spark)
     gold = scratch.save(gold_sales(spark, sf_dir), "gold")
-    dims = {
-        d.table: scratch.save(build_dim(gold, d, scratch), d.table) for d in DIMENSIONS
-    }
+    dims = written_dims(gold, scratch)
     return build_fact(gold, dims, legacy_keys, scratch if dense else None), dims
 
 
@@ -354,7 +352,7 @@ def reconcile_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     silver = scratch.save(to_silver(raw), "silver")
     gold = scratch.save(to_gold(silver), "gold")
-    dims = {d.table: scratch.save(build_dim(gold, d, scratch), d.table) for d in DIMENSIONS}
+    dims = written_dims(gold, scratch)
     fact = build_fact(gold, dims)
     return checks.reconcile_layers({"bronze": raw, "silver": silver, "gold": gold, "fato": fact})
 

@@ -16,58 +16,75 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _price_text() -> Column:
     """Decimal comma; a point between thousands from 100,000 on, which cannot be parsed later."""
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    text = F.translate(price.cast("string"), ".", ",")
-    return F.when(
-        price >= 100000, F.concat(F.substring(text, 1, 3), F.lit("."), F.substring(text, 4, 6))
-    ).otherwise(text)
+    text = F.replace(price.cast("string"), F.lit("."), F.lit(","))
+    grouped = F.concat(F.substring(text, 1, 3), F.lit("."), F.substring(text, 4, 6))
+    return F.when(price >= 100000, grouped).otherwise(text)
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line as 13 text columns and the source file; large quantities are copied.
 
-    Orders meet their customers before the much larger order lines join.
+    Every text is made on the table it comes from, before a join repeats it,
+    and orders meet their customers before the much larger order lines join.
     """
-    places = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    region = F.lower("r_name")
+    source = F.concat(F.lit("registros_"), F.translate(region, " ", "_"), F.lit(".csv"))
+    regions = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("n_regionkey"),
+        F.concat(F.lit("@"), F.translate(region, " ", "-"), F.lit(".com")).alias("domain"),
+        source_name(source).alias(SILVER_SOURCE),
+    )
+    places = table(spark, sf_dir, "nation").join(regions, "n_regionkey")
+
+    key, user = F.col("c_custkey"), F.lower(F.translate("c_name", "#", "."))
+    customers = (
+        table(spark, sf_dir, "customer")
+        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            key.alias("o_custkey"),
+            F.lit(" CLIENTE").alias("Nome"),
+            F.concat(F.lit("da-silva "), (key - key % 2).cast("string")).alias("Sobrenome"),
+            F.when(key % 50 == 0, user).otherwise(F.concat(user, "domain")).alias("Email"),
+            key.cast("string").alias("Telefone"),
+            F.col("c_mktsegment").alias("Canal"),
+            SILVER_SOURCE,
+        )
+    )
+
+    hours = F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    moment = F.date_format(F.col("o_orderdate") + hours, "yyyy-MM-dd HH:mm:ss")
+    orders = (
+        table(spark, sf_dir, "orders")
+        .withColumn("Timestamp do Registro", moment)
+        .join(customers, "o_custkey")
+        .withColumnsRenamed(
+            {"o_orderkey": "l_orderkey", "o_orderpriority": "Plataforma de Interação"}
+        )
     )
-    customers = table(spark, sf_dir, "customer").join(
-        places, F.col("c_nationkey") == F.col("n_nationkey")
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("Produto Adquirido")
     )
-    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    sellers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"),
+        F.when(F.col("s_suppkey") % 3 != 0, F.col("s_name")).alias("Vendedor"),
     )
 
-    hours = F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
-    region = F.lower("r_name")
-    user = F.lower(F.translate("c_name", "#", "."))
     percent = F.round(F.col("l_discount") * 100).cast("int")
-    discounted = percent > 0
-    sale = {
-        "Timestamp do Registro": F.date_format(F.col("o_orderdate") + hours, "yyyy-MM-dd HH:mm:ss"),
-        "Nome": F.lit(" CLIENTE"),
-        "Sobrenome": F.concat(
-            F.lit("da-silva "), (F.col("c_custkey") - F.col("c_custkey") % 2).cast("string")
-        ),
-        "Email": F.when(F.col("c_custkey") % 50 == 0, user).otherwise(
-            F.concat(user, F.lit("@"), F.translate(region, " ", "-"), F.lit(".com"))
+    times = F.when(F.col("l_quantity") > 45, 3).when(F.col("l_quantity") > 40, 2).otherwise(1)
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        _price_text().alias("Valor da Compra"),
+        F.concat("l_returnflag", "l_linestatus").alias("Campanha de Marketing"),
+        F.when(percent > 0, F.concat(percent.cast("string"), F.lit("%"))).alias(
+            "Desconto Oferecido"
         ),
-        "Telefone": F.col("c_custkey").cast("string"),
-        "Produto Adquirido": F.col("p_name"),
-        "Valor da Compra": _price_text(),
-        "Canal": F.col("c_mktsegment"),
-        "Plataforma de Interação": F.col("o_orderpriority"),
-        "Campanha de Marketing": F.concat("l_returnflag", "l_linestatus"),
-        "Vendedor": F.when(F.col("l_suppkey") % 3 != 0, F.col("s_name")),
-        "Desconto Oferecido": F.when(discounted, F.concat(percent.cast("string"), F.lit("%"))),
-        "Código de Desconto Usado": F.when(
-            discounted, F.concat(F.lit("C"), (percent % 3).cast("string"))
+        F.when(percent > 0, F.concat(F.lit("C"), (percent % 3).cast("string"))).alias(
+            "Código de Desconto Usado"
         ),
-    }
-    source = source_name(F.concat(F.lit("registros_"), F.translate(region, " ", "_"), F.lit(".csv")))
-    times = F.when(F.col("l_quantity") > 45, 3).when(F.col("l_quantity") > 40, 2).otherwise(1)
-    sales = lines.select(*(sale[c].alias(c) for c in BRONZE_COLUMNS), source.alias(SILVER_SOURCE), times.alias("_n"))
-    return sales.select("*", F.explode(F.array_repeat(F.lit(1), F.col("_n")))).drop("_n", "col")
+        times.alias("times"),
+    )
+    sales = lines.join(orders, "l_orderkey").join(parts, "l_partkey").join(sellers, "l_suppkey")
+    copied = sales.select("*", F.explode(F.array_repeat(F.lit(1), F.col("times"))))
+    return copied.select(*BRONZE_COLUMNS, SILVER_SOURCE)

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def local_session(name: str = "retalake", cpus: str = "*", memory: str = "8g") -> SparkSession:
     """Session for tests and benchmarks on one machine. A cluster brings its own."""
@@ -39,6 +44,13 @@ def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def together(spark: SparkSession, jobs: list[Callable[[], T]]) -> list[T]:
+    """Submit independent jobs at the same time, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [one.result() for one in started]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors reach, as the cluster names it in ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

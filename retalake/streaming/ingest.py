@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from retalake.operators.silver import to_silver
-from retalake.plans.jobs import Lake, promote
-from retalake.schemas import SILVER_SOURCE
+from retalake.plans.jobs import Lake, load_sales
 from retalake.sources.landing import ADMITTED_FILES, stream_bronze
-from retalake.sources.layers import write_silver
 
 
 def run_stream(
@@ -20,6 +16,7 @@ def run_stream(
     checkpoint: str,
     files: str = ADMITTED_FILES,
     stamped: bool = True,
+    strict: bool = False,
     max_files: int | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
@@ -32,11 +29,7 @@ def run_stream(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        silver = to_silver(batch).observe(seen, F.collect_set(SILVER_SOURCE).alias("sources"))
-        write_silver(silver, lake.silver)
-        if sources := seen.get["sources"]:
-            promote(batch.sparkSession, lake, sources)
+        load_sales(batch, lake, strict)
 
     writer = (
         stream_bronze(spark, landing, files, stamped, max_files)

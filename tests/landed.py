@@ -1,0 +1,92 @@
+"""Invented landing files with the shape and the row counts of real ones."""
+
+from __future__ import annotations
+
+import csv
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructType
+
+from retalake.schemas import BRONZE, BRONZE_COLUMNS, SILVER_SOURCE
+
+SALE = {
+    "Timestamp do Registro": "2020-03-04 05:06:07",
+    "Nome": "ana",
+    "Sobrenome": "LIMA",
+    "Email": "ana@loja.example",
+    "Telefone": "11900000000",
+    "Produto Adquirido": "Cadeira",
+    "Valor da Compra": "200",
+    "Canal": "Redes Sociais",
+    "Plataforma de Interação": "Website",
+    "Campanha de Marketing": "Campanha Outono",
+    "Vendedor": "Rui",
+    "Desconto Oferecido": "10%",
+    "Código de Desconto Usado": "OUTONO",
+}
+
+# name: (rows, surplus copies)
+COUNTS = {
+    "registros_gerais": (74, 18),
+    "registros_lojas_fisicas": (4, 1),
+    "registros_website": (7, 2),
+    "registros_aplicativo": (8, 2),
+}
+
+DISCOUNTS = [(None, None), ("8%", "INVERNO"), ("10%", "OUTONO"), ("11%", "VERAO"), ("15%", "PRIMAVERA")]
+
+
+def sale(**changes: str | None) -> dict[str, str | None]:
+    """The sample sale with some fields changed; keys use ``_`` for spaces and no accents."""
+    plain = {
+        "momento": "Timestamp do Registro",
+        "valor": "Valor da Compra",
+        "produto": "Produto Adquirido",
+        "desconto": "Desconto Oferecido",
+        "codigo": "Código de Desconto Usado",
+        "plataforma": "Plataforma de Interação",
+        "campanha": "Campanha de Marketing",
+    }
+    return SALE | {plain.get(k, k.capitalize()): v for k, v in changes.items()}
+
+
+def bronze(spark: SparkSession, *sales: dict[str, str | None], source: str = "registros_a") -> DataFrame:
+    schema = StructType(list(BRONZE.fields)).add(SILVER_SOURCE, StringType())
+    return spark.createDataFrame([(*(s[c] for c in BRONZE_COLUMNS), source) for s in sales], schema)
+
+
+def write_csv(path: Path, sales: list[dict[str, str | None]], header: list[str] | None = None) -> None:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as file:
+        rows = csv.writer(file, lineterminator="\n")
+        rows.writerow(header or BRONZE_COLUMNS)
+        rows.writerows([s[c] for c in BRONZE_COLUMNS] for s in sales)
+
+
+def month_of_sales(name: str, unique: int, surplus: int) -> list[dict[str, str | None]]:
+    """``unique`` different sales, of which the first ones come again."""
+    sales = []
+    for i in range(unique):
+        percent, code = DISCOUNTS[i % len(DISCOUNTS)]
+        sales.append(
+            sale(
+                momento=f"{2014 + i % 3}-01-{1 + i % 28:02d} {i % 24:02d}:00:00",
+                nome=f"cliente {i}",
+                email=f"c{i}@{name.replace('_', '-')}.example",
+                produto=f"Produto {i % 50}",
+                valor=str(50 + i),
+                vendedor=None if i % 3 else f"Vendedor {i % 5}",
+                desconto=percent,
+                codigo=code,
+            )
+        )
+    return sales + sales[:surplus]
+
+
+def land_all(folder: Path) -> None:
+    """Four admitted files and two that must be left alone."""
+    for name, (rows, surplus) in COUNTS.items():
+        write_csv(folder / f"{name}.csv", month_of_sales(name, rows - surplus, surplus))
+    write_csv(folder / "outros_registros.csv", month_of_sales("outros", 6, 2))
+    write_csv(folder / "registros-rede.txt", month_of_sales("rede", 65, 9))
