@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retalake.operators.keys import dense_id
 from retalake.schemas import DIMENSIONS, FACT, FACT_TABLE, STAGING_TABLE, Dimension
-from retalake.session import Scratch, together
+from retalake.session import Scratch, adaptive, together
 from retalake.sources.warehouse import drop_star
 
 # Natural key columns that the literal lookups leave out.
@@ -95,16 +95,16 @@ def rebuild_star(spark: SparkSession, database: str, legacy_keys: bool = False)
     """
     sales = spark.table(f"{database}.{STAGING_TABLE}")
     drop_star(spark, database)
-    with Scratch(spark) as scratch:
+    with Scratch(spark) as scratch, adaptive(spark):
 
         def write(dim: Dimension) -> None:
             rows = build_dim(sales, dim, scratch)
             rows.write.format("parquet").saveAsTable(f"{database}.{dim.table}")
 
         together(spark, [partial(write, dim) for dim in DIMENSIONS])
-    dims = {d.table: spark.table(f"{database}.{d.table}") for d in DIMENSIONS}
-    fact = build_fact(sales, dims, legacy_keys)
-    fact.write.format("parquet").saveAsTable(f"{database}.{FACT_TABLE}")
+        dims = {d.table: spark.table(f"{database}.{d.table}") for d in DIMENSIONS}
+        fact = build_fact(sales, dims, legacy_keys)
+        fact.write.format("parquet").saveAsTable(f"{database}.{FACT_TABLE}")
 
 
 def year_as_text(fact: DataFrame) -> DataFrame:

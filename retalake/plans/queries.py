@@ -115,7 +115,7 @@ def daypart_year_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineage names as if every sale had come in its own file at its own time."""
     raw = raw_sales(spark, sf_dir)
-    moment = F.col("Timestamp do Registro").cast("timestamp")
+    moment = F.from_utc_timestamp("Timestamp do Registro", F.current_timezone())
     file = F.concat_ws(".", F.lit("registros"), F.translate("Canal", " ", "_"), F.lit("csv"))
     return raw.select(
         file.alias("arquivo"),

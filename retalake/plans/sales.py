@@ -52,7 +52,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     hours = F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
-    moment = F.date_format(F.col("o_orderdate") + hours, "yyyy-MM-dd HH:mm:ss")
+    moment = (F.col("o_orderdate") + hours).cast("string")
     orders = (
         table(spark, sf_dir, "orders")
         .withColumn("Timestamp do Registro", moment)

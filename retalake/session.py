@@ -44,6 +44,17 @@ def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Run-time planning on, also where a cluster has switched it off: it splits hot partitions."""
+    with (
+        session_conf(spark, "spark.sql.adaptive.enabled", "true"),
+        session_conf(spark, "spark.sql.adaptive.skewJoin.enabled", "true"),
+        session_conf(spark, "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true"),
+    ):
+        yield
+
+
 def together(spark: SparkSession, jobs: list[Callable[[], T]]) -> list[T]:
     """Submit independent jobs at the same time, so that small ones do not wait for each other."""
     with ThreadPoolExecutor(len(jobs)) as pool:

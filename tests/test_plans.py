@@ -147,7 +147,7 @@ def test_hot_keys_are_split_in_the_fact(spark):
 
 
 def test_hot_source_is_written_by_many_tasks(spark, tmp_path):
-    with small_partitions(spark):
+    with small_partitions(spark), session_conf(spark, "spark.sql.adaptive.enabled", "false"):
         write_silver(to_silver(hot_sales(spark, 300000)), f"{tmp_path}/s")
     layer = read_silver(spark, f"{tmp_path}/s")
     files = layer.where(F.col(SILVER_SOURCE) == "registros_a").groupBy("_metadata.file_path").count()
