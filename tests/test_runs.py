@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import pytest
 from landed import COUNTS, land_all, month_of_sales, sale, write_csv
+from pyspark.errors import StreamingQueryException
 
 from retalake import run_batch, run_stream
 from retalake.operators import checks
@@ -104,6 +106,19 @@ def test_stream_takes_each_file_once(spark, lake, tmp_path):
     assert spark.table(f"{lake.database}.{FACT_TABLE}").count() == 75
 
 
+def test_stream_that_failed_half_way_goes_on_without_copies(spark, lake, tmp_path, monkeypatch):
+    landing, checkpoint = tmp_path / "landing", f"{tmp_path}/checkpoint"
+    land_all(landing)
+    with monkeypatch.context() as broken:
+        broken.setattr("retalake.plans.jobs.load_warehouse", lambda *_: 1 / 0)
+        with pytest.raises(StreamingQueryException):
+            run_stream(spark, str(landing), lake, checkpoint).awaitTermination()
+    assert read_gold(spark, lake.gold).count() == 70
+    assert not spark.catalog.tableExists(f"{lake.database}.{STAGING_TABLE}")
+    run_stream(spark, str(landing), lake, checkpoint).awaitTermination()
+    assert len(rows(spark, lake, STAGING_TABLE)) == read_gold(spark, lake.gold).count() == 70
+
+
 def test_stream_and_batch_give_the_same_gold(spark, lake, tmp_path):
     landing = tmp_path / "landing"
     land_all(landing)
