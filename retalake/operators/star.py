@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from retalake.operators.keys import dense_id
 from retalake.schemas import DIMENSIONS, FACT, FACT_TABLE, STAGING_TABLE, Dimension
 from retalake.session import Scratch, adaptive, together
-from retalake.sources.warehouse import drop_star
+from retalake.sources.warehouse import create_star
 
 # Natural key columns that the literal lookups leave out.
 _LEGACY_UNMATCHED = {
@@ -87,24 +87,26 @@ def build_fact(
 
 
 def rebuild_star(spark: SparkSession, database: str, legacy_keys: bool = False) -> None:
-    """Write all dimensions and the fact anew from the staging table.
+    """Fill all dimensions and the fact anew from the staging table.
 
-    The old star goes first, so a rebuild that fails half-way never leaves a
-    fact that points into newer dimensions. The fact is planned over the
-    written dimensions: their keys are final and their sizes known.
+    The fact is emptied first, so a rebuild that fails half-way never leaves
+    one that points into newer dimensions; the next rebuild overwrites
+    whatever it left. The fact is planned over the written dimensions: their
+    keys are final and their sizes known.
     """
     sales = spark.table(f"{database}.{STAGING_TABLE}")
-    drop_star(spark, database)
+    create_star(spark, database)
+    spark.sql(f"TRUNCATE TABLE {database}.{FACT_TABLE}")
     with Scratch(spark) as scratch, adaptive(spark):
 
-        def write(dim: Dimension) -> None:
+        def fill(dim: Dimension) -> None:
             rows = build_dim(sales, dim, scratch)
-            rows.write.format("parquet").saveAsTable(f"{database}.{dim.table}")
+            rows.write.insertInto(f"{database}.{dim.table}", overwrite=True)
 
-        together(spark, [partial(write, dim) for dim in DIMENSIONS])
+        together(spark, [partial(fill, dim) for dim in DIMENSIONS])
         dims = {d.table: spark.table(f"{database}.{d.table}") for d in DIMENSIONS}
         fact = build_fact(sales, dims, legacy_keys)
-        fact.write.format("parquet").saveAsTable(f"{database}.{FACT_TABLE}")
+        fact.write.insertInto(f"{database}.{FACT_TABLE}", overwrite=True)
 
 
 def year_as_text(fact: DataFrame) -> DataFrame:

@@ -248,6 +248,7 @@ JOIN (SELECT "Arquivo de Origem" AS arquivo_de_origem, count(*) AS n FROM silver
 JOIN (SELECT arquivo_de_origem, count(*) AS n FROM gold GROUP BY 1) AS g USING (arquivo_de_origem)
 JOIN (SELECT arquivo_de_origem, count(*) AS n FROM fact GROUP BY 1) AS f USING (arquivo_de_origem)""",
     }
+    sql["sample_size"] = _TO_GOLD + "SELECT count(*) AS registros FROM (SELECT * FROM gold LIMIT 5)"
     for d in DIMENSIONS:
         sql[d.table] = _TO_DIMS + f"SELECT * FROM {d.table}"
     return sql

@@ -362,6 +362,10 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.sample(gold_sales(spark, sf_dir))
 
 
+def sample_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.row_count(checks.sample(gold_sales(spark, sf_dir)))
+
+
 def all_queries() -> dict[str, Query]:
     plain = [
         silver_typed,
@@ -403,6 +407,7 @@ def all_queries() -> dict[str, Query]:
         duplicate_rows,
         reconcile_layers,
         sample_rows,
+        sample_size,
     ]
     named: dict[str, Query] = {q.__name__: q for q in plain}
     return named | {d.table: partial(dimension, d) for d in DIMENSIONS}

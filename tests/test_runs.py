@@ -129,6 +129,20 @@ def test_stream_and_batch_give_the_same_gold(spark, lake, tmp_path):
     assert rows(spark, lake, STAGING_TABLE) == streamed
 
 
+def test_rebuild_that_failed_half_way_is_repeated(spark, lake, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    land_all(landing)
+    run_batch(spark, str(landing), lake)
+    with monkeypatch.context() as broken:
+        broken.setattr("retalake.operators.star.build_fact", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            rebuild_star(spark, lake.database)
+    assert rows(spark, lake, FACT_TABLE) == []
+    rebuild_star(spark, lake.database)
+    assert len(rows(spark, lake, FACT_TABLE)) == 70
+    assert [len(rows(spark, lake, d.table)) for d in DIMENSIONS][0] == 5
+
+
 def test_warehouse_load_append_truncate_drop(spark, lake, tmp_path):
     landing = tmp_path / "landing"
     land_all(landing)
