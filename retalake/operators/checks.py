@@ -72,19 +72,26 @@ def schema_profile(df: DataFrame) -> DataFrame:
     return filled.select("coluna", kind.alias("tipo"), "preenchidos")
 
 
+def _counted(df: DataFrame) -> DataFrame:
+    """Distinct rows with how often they occur. Copies are added up before the shuffle."""
+    return df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count("*").alias("vezes"))
+
+
 def copies(df: DataFrame) -> DataFrame:
-    """Rows that occur more than once, with how often. Copies are added up before the shuffle."""
-    counted = df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count("*").alias("vezes"))
-    return counted.where(F.col("vezes") > 1)
+    """Rows that occur more than once, with how often."""
+    return _counted(df).where(F.col("vezes") > 1)
 
 
 def duplicates_report(df: DataFrame, source: str = SILVER_SOURCE) -> DataFrame:
     """Total, surplus and unique rows per source."""
-    counted = df.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count("*").alias("vezes"))
-    return counted.groupBy(F.col(f"`{source}`").alias(SOURCE)).agg(
-        F.sum("vezes").alias("total"),
-        F.sum(F.col("vezes") - 1).alias("duplicados"),
-        F.count("*").alias("unicos"),
+    return (
+        _counted(df)
+        .groupBy(F.col(f"`{source}`").alias(SOURCE))
+        .agg(
+            F.sum("vezes").alias("total"),
+            F.sum(F.col("vezes") - 1).alias("duplicados"),
+            F.count("*").alias("unicos"),
+        )
     )
 
 
