@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retalake.llm import decontamination, quality_rules
+from retalake.llm import decontamination, near_dedup, quality_rules
 from retalake.llm.common import scratch, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,6 +17,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_rules.accepted(spark, docs, table(spark, sf_dir, "labels"))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return near_dedup.one_of_each(spark, docs, percent=80, size=5)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
     return decontamination.without_contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
@@ -24,6 +29,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", keep_quality),
+    ("near_dedup", drop_near_copies),
     ("decontamination", decontaminate),
 ]
 

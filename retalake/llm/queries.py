@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm import decontamination, quality_rules
+from retalake.llm import decontamination, near_dedup, quality_rules
 from retalake.llm.common import table
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hit = decontamination.contamination(spark, docs, table(spark, sf_dir, "benchmark"))
@@ -32,6 +36,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_dedup": op3_near_dedup,
     "op4_decontamination": op4_decontamination,
     "op8_quality_rules": op8_quality_rules,
 }
