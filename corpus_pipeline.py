@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retalake.llm import decontamination, near_dedup, quality_rules
-from retalake.llm.common import scratch, table
+from retalake.llm import decontamination, near_dedup, packing, quality_rules
+from retalake.llm.common import scratch, table, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,10 +27,16 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontamination.without_contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their token ids, in sequences of 2048."""
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), with_ids=True)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", keep_quality),
     ("near_dedup", drop_near_copies),
     ("decontamination", decontaminate),
+    ("packing", pack_sequences),
 ]
 
 #: SQL cannot express the stages that learn or tokenize; tests compare with brute force instead.

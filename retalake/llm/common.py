@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file, which is installed wherever the library runs."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def scratch(spark: SparkSession) -> Scratch:
     """Written intermediate tables of one call; their readers outlive the call, so nothing removes them here."""
     return Scratch(spark)

@@ -29,3 +29,33 @@ FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 ORACLES = {"op4_decontamination": OP4}
+
+#: Links of every pair that shares a shingle, and the smallest id that they reach.
+OP3 = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN w ELSE w[i : i + 2] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 85 * (x.n + y.n - both)
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
+),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLES["op3_near_dedup"] = OP3

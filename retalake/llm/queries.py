@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm import decontamination, near_dedup, quality_rules
-from retalake.llm.common import table
+from retalake.llm import decontamination, near_dedup, packing, quality_rules
+from retalake.llm.common import table, tokenizer_path
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +40,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op3_near_dedup": op3_near_dedup,
     "op4_decontamination": op4_decontamination,
     "op8_quality_rules": op8_quality_rules,
