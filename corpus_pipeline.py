@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retalake.llm import decontamination, near_dedup, packing, quality_rules
+from retalake.llm import decontamination, near_dedup, packing, pii, quality_rules
 from retalake.llm.common import scratch, table, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,6 +28,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontamination.without_contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the kind of personal data in its place; ``n_chars`` follows the text."""
+    return pii.redacted(spark, docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their token ids, in sequences of 2048."""
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), with_ids=True)
@@ -36,6 +42,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", keep_quality),
     ("near_dedup", drop_near_copies),
     ("decontamination", decontaminate),
+    ("pii", redact),
     ("packing", pack_sequences),
 ]
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm import decontamination, near_dedup, packing, quality_rules
+from retalake.llm import decontamination, near_dedup, packing, pii, quality_rules
 from retalake.llm.common import table, tokenizer_path
 
 
@@ -32,6 +32,20 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def digest(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(digest("base"), 256).alias("base_sha256"), digest("spans").alias("spans")
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = quality_rules.quality_filter(spark, docs, table(spark, sf_dir, "labels"))
@@ -43,5 +57,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_near_dedup": op3_near_dedup,
     "op4_decontamination": op4_decontamination,
+    "op6_pii": op6_pii,
     "op8_quality_rules": op8_quality_rules,
 }
