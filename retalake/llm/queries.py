@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm import decontamination, near_dedup, packing, pii, quality_rules
+from retalake.llm import decontamination, html_text, language_model, near_dedup, packing, pii, quality_rules, toxicity
 from retalake.llm.common import table, tokenizer_path
 
 
@@ -15,6 +15,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(spark, table(spark, sf_dir, "pages"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -32,6 +36,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(spark, docs, table(spark, sf_dir, "labels"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -53,10 +62,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"stats.{c}" for c in counts], "base_failed", "kept")
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_html_text": op2_html_text,
     "op3_near_dedup": op3_near_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op6_pii": op6_pii,
     "op8_quality_rules": op8_quality_rules,
+    "op10_language_model": op10_language_model,
 }
