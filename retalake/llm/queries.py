@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm import decontamination, html_text, language_model, near_dedup, packing, pii, quality_rules, toxicity
+from retalake.llm import (
+    decontamination,
+    html_text,
+    language_model,
+    license_scan,
+    near_dedup,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+)
 from retalake.llm.common import table, tokenizer_path
 
 
@@ -55,6 +66,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = quality_rules.quality_filter(spark, docs, table(spark, sf_dir, "labels"))
@@ -62,6 +77,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"stats.{c}" for c in counts], "base_failed", "kept")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = quality_classifier.grades_of(table(spark, sf_dir, "labels"))
+    graded = quality_classifier.graded(spark, docs, ratings, grades=3)
+    tails = [F.get("tails", F.lit(k)).alias(f"p_above_{k}") for k in range(2)]
+    return graded.select("doc_id", "held_out", "expected_grade", *tails)
+
+
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(spark, table(spark, sf_dir, "documents"))
 
@@ -73,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_pii": op6_pii,
+    "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_language_model": op10_language_model,
 }
