@@ -19,6 +19,7 @@ part is encoded once per task. Texts with other runs of blanks are encoded whole
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -38,7 +39,9 @@ OTHER_CUT = 12
 STRETCH = 64
 #: Tokens that are cut into sequences at a time, and characters of text that are encoded at a time.
 SEGMENT = 400_000
-CHARS = 4_000_000
+CHARS = 2_000_000
+#: Texts that the tokenizer gets at a time; its own records of a text are far larger than the ids.
+AT_A_TIME = 16
 #: Distinct parts whose ids a task remembers; only speed depends on it.
 CACHE = 400_000
 
@@ -47,6 +50,7 @@ class Encoder:
     """Ids of texts under a byte-level BPE of the ``tokenizers`` library."""
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is the only one it may use
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -65,7 +69,11 @@ class Encoder:
         self.counts = np.empty(0, np.int64)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[np.ndarray] = []
+        for i in range(0, len(texts), AT_A_TIME):
+            encoded = self.tokenizer.encode_batch_fast(texts[i : i + AT_A_TIME], add_special_tokens=False)
+            out += [np.array(e.ids, np.uint32) for e in encoded]
+        return out
 
     def _learn(self, parts: list[str]) -> None:
         """Encode new parts, each with a space before it, many in one text; widths tell whose tokens are whose."""
