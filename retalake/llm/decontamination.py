@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm.common import ascii_lower, counted_broadcast, join_rows, scratch, split_words
+from retalake.llm.common import ascii_lower, counted_broadcast, fresh, join_rows, scratch, split_words
 
 WINDOW = 13
 LEAD = 3
@@ -148,6 +148,7 @@ def text_key() -> Column:
 
 def without_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    bad = contamination(spark, docs, benchmark).where("contaminated").select("doc_id", "text_key").distinct()
-    bad = counted_broadcast(scratch(spark).save(bad, "contaminated"))
-    return join_rows(docs.withColumn("text_key", text_key()), bad, ["doc_id", "text_key"], "left_anti").select(*docs.columns)
+    key = fresh("text_key")
+    bad = contamination(spark, docs, benchmark).where("contaminated").select("doc_id", F.col("text_key").alias(key))
+    bad = counted_broadcast(scratch(spark).save(bad.distinct(), "contaminated"))
+    return join_rows(docs.withColumn(key, text_key()), bad, ["doc_id", key], "left_anti").select(*docs.columns)

@@ -21,8 +21,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_left
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -147,31 +148,43 @@ def places_to_cut(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray) -> tu
     return at, penalty[at]
 
 
-def best_cuts(at: list[int], penalty: list[int], size: int) -> list[int]:
-    """Cut positions, first and last place included, with the least padding and penalties."""
+def best_cuts(at: list[int], penalty: list[int], size: int, last_cost: Callable[[int], int]) -> list[int]:
+    """Cut positions, first and last place included, with the least padding and penalties.
+
+    The last sequence costs ``last_cost`` of its length, as it is either
+    continued or cut in its own way.
+    """
     cost, back = [0] * len(at), [0] * len(at)
     queue = deque([(at[0], 0, at[0])])  # cost + T ascending from left to right
-    for j in range(1, len(at)):
+    for j in range(1, len(at) - 1):
         t = at[j]
         while t - queue[0][2] > size:
             queue.popleft()
         value, i, _ = queue[0]
         c = penalty[j] + size - t + value
         back[j] = i
+        cost[j] = c
         c += t
         while queue and queue[-1][0] >= c:
             queue.pop()
         queue.append((c, j, t))
-    cuts = [len(at) - 1]
+    end = len(at) - 1
+    near = range(bisect_left(at, at[end] - size), end)
+    back[end] = min(near, key=lambda i: cost[i] + last_cost(at[end] - at[i]))
+    cuts = [end]
     while cuts[-1]:
         cuts.append(back[cuts[-1]])
     return [at[i] for i in reversed(cuts)]
 
 
+def powers_cost(n: int, size: int) -> int:
+    return min(size - n, (n.bit_count() - 1) * OTHER_CUT)
+
+
 def powers(n: int, size: int) -> list[int]:
     """Lengths of the sequences for the last ``n`` tokens: powers of two, or one that is filled up."""
-    if n == 0 or n.bit_count() * OTHER_CUT > size - n:
-        return [n] if n else []
+    if size - n <= (n.bit_count() - 1) * OTHER_CUT:
+        return [n]
     return [1 << k for k in reversed(range(n.bit_length())) if n >> k & 1]
 
 
@@ -193,7 +206,8 @@ class Packer:
         cuts = [0]
         if len(self.ids):
             at, penalty = places_to_cut(self.ids, np.array([e for _, _, e in self.docs]), self.ends)
-            cuts = best_cuts(at.tolist(), penalty.tolist(), self.size)
+            last_cost = (lambda n: powers_cost(n, self.size)) if last else (lambda n: 0)
+            cuts = best_cuts(at.tolist(), penalty.tolist(), self.size, last_cost)
             tail = cuts.pop() - cuts[-1]
             if last:
                 cuts += (cuts[-1] + np.cumsum(powers(tail, self.size), dtype=np.int64)).tolist()

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm.common import BLANK_CLASS, counted_broadcast, join_rows, scratch, split_words
+from retalake.llm.common import BLANK_CLASS, counted_broadcast, fresh, join_rows, scratch, split_words
 
 KINDS = ("email", "ip", "card", "phone")
 LEARNED = "learned"
@@ -227,12 +227,16 @@ def text_key() -> Column:
 
 def redacted(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, and ``[KIND]`` in ``text`` for every span; overlapping spans are one."""
-    found = personal_data(spark, docs).where(F.size("spans") > 0).select("doc_id", "text_key", "spans")
-    found = counted_broadcast(scratch(spark).save(found.dropDuplicates(["doc_id", "text_key"]), "found"))
-    joined = join_rows(docs.withColumn("text_key", text_key()), found, ["doc_id", "text_key"])
+    key, spans = fresh("text_key"), fresh("spans")
+    found = personal_data(spark, docs).where(F.size("spans") > 0)
+    found = found.dropDuplicates(["doc_id", "text_key"]).select(
+        "doc_id", F.col("text_key").alias(key), F.col("spans").alias(spans)
+    )
+    found = counted_broadcast(scratch(spark).save(found, "found"))
+    joined = join_rows(docs.withColumn(key, text_key()), found, ["doc_id", key])
     span = "struct<start:int,end:int,kind:string>"
     blocks = F.aggregate(
-        "spans",
+        spans,
         F.array().cast(f"array<{span}>"),
         lambda a, s: F.when(
             (F.size(a) > 0) & (s["start"] < F.element_at(a, -1)["end"]),
@@ -248,12 +252,12 @@ def redacted(spark: SparkSession, docs: DataFrame) -> DataFrame:
             ),
         ).otherwise(F.concat(a, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))),
     )
-    joined = joined.withColumn("spans", blocks)
+    joined = joined.withColumn(spans, blocks)
 
     def before(b: Column, i: Column) -> Column:
-        end = F.when(i == 0, F.lit(0)).otherwise(F.get("spans", F.greatest(i - 1, F.lit(0)))["end"])
+        end = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, F.greatest(i - 1, F.lit(0)))["end"])
         return F.concat(F.substring("text", end + 1, b["start"] - end), F.lit("["), F.upper(b["kind"]), F.lit("]"))
 
-    rest = F.substring("text", F.element_at("spans", -1)["end"] + 1, F.lit(2147483647))
-    clean = F.concat(F.array_join(F.transform("spans", before), ""), rest)
-    return joined.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(F.col("text"))).select(*docs.columns)
+    rest = F.substring("text", F.element_at(spans, -1)["end"] + 1, F.lit(2147483647))
+    clean = F.concat(F.array_join(F.transform(spans, before), ""), rest)
+    return joined.withColumn("text", F.when(F.size(spans) > 0, clean).otherwise(F.col("text"))).select(*docs.columns)
