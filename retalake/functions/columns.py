@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # Timestamp layouts of the landing files and of the ingest stamp.
 SALE_TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
-INGEST_STAMP_FORMAT = "yyyyMMdd_HHmmss"
+INGEST_STAMP_FORM = (r"^(\d+)-(\d+)-(\d+) (\d+):(\d+):(\d+).*$", "$1$2$3_$4$5$6")
 
 # Parts of the day with the hour at which each one ends.
 DAY_PARTS = [("Madrugada", 6), ("Manhã", 12), ("Tarde", 18)]
@@ -77,12 +77,13 @@ def net_value(value: Column, discount: Column) -> Column:
 
 def without_extension(name: Column) -> Column:
     """File name without its last extension."""
-    return F.regexp_replace(name, r"\.[^.]*$", "")
+    return F.regexp_replace(name, r"\.[^./]*$", "")
 
 
 def ingest_stamp(moment: Column) -> Column:
-    """UTC ingest time in the form put before file names."""
-    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), INGEST_STAMP_FORMAT)
+    """UTC ingest time in the form put before file names, counted from the epoch: no local time is passed through."""
+    wall = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=F.unix_seconds(moment))
+    return F.regexp_replace(wall.cast("string"), *INGEST_STAMP_FORM)
 
 
 def source_name(name: Column, moment: Column | None = None) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.schemas import DIMENSIONS, SILVER_SOURCE, SOURCE
+from retalake.schemas import DIMENSIONS, FACT_TABLE, SILVER_SOURCE, SOURCE, STAGING_TABLE
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -120,3 +120,21 @@ def reconcile_layers(layers: dict[str, DataFrame]) -> DataFrame:
 def sample(df: DataFrame, rows: int = 5) -> DataFrame:
     """Any few rows, for a look at the table."""
     return df.limit(rows)
+
+
+def star_report(spark: SparkSession, database: str) -> DataFrame:
+    """verificacao, valor, esperado, confere: unique keys, references, and the fact's rows against the staging table."""
+    fact, staging = spark.table(f"{database}.{FACT_TABLE}"), spark.table(f"{database}.{STAGING_TABLE}")
+    dims = {d.table: spark.table(f"{database}.{d.table}") for d in DIMENSIONS}
+
+    def named(df: DataFrame, name: str, value: str, expected: str | int) -> DataFrame:
+        wanted = F.lit(expected).cast("long") if isinstance(expected, int) else F.col(expected)
+        return df.select(F.lit(name).alias("verificacao"), F.col(value).alias("valor"), wanted.alias("esperado"))
+
+    rows = row_count(fact).crossJoin(row_count(staging).withColumnRenamed("registros", "staging"))  # one row each
+    parts = [named(rows, "vendas", "registros", "staging")]
+    parts.append(named(key_check(fact, "venda_id"), f"chave {FACT_TABLE}", "distintos", "registros"))
+    for d in DIMENSIONS:
+        parts.append(named(key_check(dims[d.table], d.id), f"chave {d.table}", "distintos", "registros"))
+        parts.append(named(orphans(fact, d.id, dims[d.table], d.id), f"referencia {d.id}", "orfaos", 0))
+    return reduce(DataFrame.unionByName, parts).withColumn("confere", F.col("valor") == F.col("esperado"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -67,7 +68,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor reaches")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="retalake-"))
     return spark.sparkContext.getCheckpointDir()
@@ -79,18 +80,28 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 class Scratch:
     """Written intermediate tables of one run, under the shared folder.
 
     A table that has been written is not recomputed when an executor is lost,
     and what was evaluated while writing it (row positions, say) stays fixed.
     As a context manager it removes its tables at the end; results that still
-    read from them have to be written before that.
+    read from them have to be written before that. Else they go when the
+    driver ends.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/retalake-{uuid.uuid4().hex}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from retalake.plans.jobs import Lake, load_sales
-from retalake.sources.landing import ADMITTED_FILES, stream_bronze
+from retalake.plans.jobs import Lake, load_changed, load_sales, note_loaded
+from retalake.sources.landing import ADMITTED_FILES, malformed, stream_lines, well_formed
 
 
 def run_stream(
@@ -25,14 +25,23 @@ def run_stream(
     A file lies wholly in one micro-batch and rows are deduplicated per file,
     so no state is kept between batches. A batch that runs again replaces the
     partitions it wrote before. Without ``every`` the query ends when all
-    present files are loaded; the checkpoint remembers them.
+    present files are loaded; the checkpoint remembers them by path. Files
+    that have changed since they were loaded are loaded again first, and with
+    ``every`` also along with each batch. Malformed lines are kept under
+    ``lake.rejected``, by batch; with ``strict`` they fail the query.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_sales(batch, lake, strict)
-
+        load_changed(spark, landing, lake, files, stamped, strict)
+        batch.persist()
+        malformed(batch).write.mode("overwrite").parquet(f"{lake.rejected}/lote={batch_id}")
+        sources = load_sales(well_formed(batch), lake, strict)
+        note_loaded(spark, landing, lake, files, stamped, sources)
+        batch.unpersist()
+
+    load_changed(spark, landing, lake, files, stamped, strict)
     writer = (
-        stream_bronze(spark, landing, files, stamped, max_files)
+        stream_lines(spark, landing, files, stamped, max_files, strict)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
     )

@@ -123,7 +123,7 @@ def test_year_as_text(spark, scratch):
 
 
 def test_jdbc_options():
-    options = jdbc_options("jdbc:x://h/db", "registros.registros_vendas", numPartitions="16")
+    options = jdbc_options("jdbc:x://h/db", "registros.registros_vendas", connections=16)
     assert options == {
         "url": "jdbc:x://h/db", "dbtable": "registros.registros_vendas", "batchsize": "10000",
         "numPartitions": "16",
