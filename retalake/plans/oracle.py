@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from retalake.schemas import BRONZE_COLUMNS, DIMENSIONS, FACT_TABLE, SILVER, STAGING_TABLE
+from retalake.schemas import BRONZE_COLUMNS, DIMENSIONS, FACT_TABLE, GOLD, SILVER, STAGING_TABLE
 
 _RAW = """
 raw AS (
@@ -182,6 +182,11 @@ count(*) AS registros FROM events GROUP BY 1, 2""",
         + f"""SELECT {file} || '.csv' AS arquivo, {file} AS sem_extensao, {stamp} AS carimbo,
 {stamp} || '_' || {file} AS origem FROM raw""",
         "bronze_csv": _with(_RAW) + f"SELECT {raw_columns} FROM raw",
+        "bronze_admitted": _with(_RAW) + f"SELECT {raw_columns} FROM raw",
+        "bronze_rejects": """SELECT concat_ws(',', l_orderkey, l_linenumber, 'x', 'x', 'x', 'x', 'x', 'x', 'x', 'x', 'x',
+CASE WHEN l_orderkey % 5 = 0 THEN replace(price, '.', ',') || ',y' ELSE price END) AS linha
+FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price FROM lineitem)
+WHERE l_orderkey % 5 < 2""",
         "partition_roundtrip": _TO_GOLD + "SELECT * FROM gold WHERE ano = 1996",
         "warehouse_load": _TO_GOLD + _BY_SOURCE,
         "warehouse_append": _TO_GOLD
@@ -191,7 +196,19 @@ FROM gold GROUP BY arquivo_de_origem""",
         + f"""{dim_counts}
 UNION ALL SELECT '{STAGING_TABLE}', count(*) FROM gold
 UNION ALL SELECT '{FACT_TABLE}', count(*) FROM gold""",
-        "star_dropped": f"SELECT '{STAGING_TABLE}' AS tabela, 0 AS registros",
+        "star_dropped": _TO_DIMS
+        + f"""SELECT *, 'antes' AS momento FROM ({dim_counts}
+UNION ALL SELECT '{STAGING_TABLE}', count(*) FROM gold
+UNION ALL SELECT '{FACT_TABLE}', count(*) FROM gold)
+UNION ALL SELECT '{STAGING_TABLE}', 0, 'depois'""",
+        "star_contents": _TO_GOLD
+        + f"SELECT arquivo_de_origem, ano, {', '.join(c for d in DIMENSIONS for c in d.key)} FROM gold",
+        "batch_checks": _TO_DIMS
+        + f"""SELECT *, valor AS esperado, true AS confere FROM (
+SELECT 'vendas' AS verificacao, count(*) AS valor FROM gold
+UNION ALL SELECT 'chave {FACT_TABLE}', count(*) FROM gold
+UNION ALL SELECT 'chave ' || tabela, registros FROM ({dim_counts})
+{' '.join(f"UNION ALL SELECT 'referencia {d.id}', 0" for d in DIMENSIONS)})""",
         "batch_run": _TO_GOLD + _BY_DAYPART_AND_YEAR,
         "stream_run": _TO_GOLD + _BY_DAYPART_AND_YEAR,
         "fact_sales": fact_with + "SELECT * FROM fact",
@@ -248,6 +265,8 @@ JOIN (SELECT "Arquivo de Origem" AS arquivo_de_origem, count(*) AS n FROM silver
 JOIN (SELECT arquivo_de_origem, count(*) AS n FROM gold GROUP BY 1) AS g USING (arquivo_de_origem)
 JOIN (SELECT arquivo_de_origem, count(*) AS n FROM fact GROUP BY 1) AS f USING (arquivo_de_origem)""",
     }
+    first = ", ".join(f"{c} NULLS FIRST" for c in GOLD.names)
+    sql["sample_rows"] = _TO_GOLD + f"SELECT * FROM gold ORDER BY {first} LIMIT 5"
     sql["sample_size"] = _TO_GOLD + "SELECT count(*) AS registros FROM (SELECT * FROM gold LIMIT 5)"
     for d in DIMENSIONS:
         sql[d.table] = _TO_DIMS + f"SELECT * FROM {d.table}"

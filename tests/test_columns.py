@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from retalake.functions import columns as C
 from retalake.functions.names import plain_columns, plain_name
 from retalake.schemas import BRONZE_COLUMNS
+from retalake.session import session_conf
 
 
 def values(spark, inputs, expression, kind="string"):
@@ -97,6 +98,13 @@ def test_ingest_stamp_is_utc(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_ingest_stamp_over_a_clock_change(spark):
+    moments = [1710037800, 1710041400]  # 02:30 and 03:30 UTC on the day that New York's clocks go forward
+    with session_conf(spark, "spark.sql.session.timeZone", "America/New_York"):
+        stamps = values(spark, moments, lambda c: C.ingest_stamp(F.timestamp_seconds(c)), "long")
+    assert stamps == ["20240310_023000", "20240310_033000"]
+
+
 def test_plain_names(spark):
     assert plain_name("Código de Desconto Usado") == "codigo_de_desconto_usado"
     assert plain_name("ÁÀÂÃÄÅÇÉÈÊËÍÌÎÏÑÓÒÔÕÖÚÙÛÜÝŸ") == "aaaaaaceeeeiiiinooooouuuuyy"

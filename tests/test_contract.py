@@ -7,6 +7,8 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as contract
+from retalake.plans.oracle import ORACLES
+from retalake.plans.queries import all_queries
 
 
 @pytest.fixture(scope="module")
@@ -14,8 +16,9 @@ def base():
     return oracle_compare.duck(SF_DIR)
 
 
-def test_every_query_but_the_sample_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"sample_rows"}
+def test_every_query_has_sql():
+    assert set(all_queries()) == set(ORACLES)
+    assert set(all_queries()) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -25,7 +28,7 @@ def test_entry(spark):
     assert df.count() == 28
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query_equals_its_sql(spark, base, name):
     rows, problem = oracle_compare.compare(spark, base, SF_DIR, name)
     assert not problem

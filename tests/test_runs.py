@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from landed import COUNTS, land_all, month_of_sales, sale, write_csv
 from pyspark.errors import StreamingQueryException
@@ -8,6 +10,7 @@ from retalake import run_batch, run_stream
 from retalake.operators import checks
 from retalake.operators.silver import to_silver
 from retalake.operators.star import rebuild_star
+from retalake.plans.jobs import CheckFailed
 from retalake.schemas import DIMENSIONS, FACT, FACT_TABLE, GOLD, STAGING_TABLE
 from retalake.sources.landing import read_bronze
 from retalake.sources.layers import read_gold, read_silver
@@ -158,3 +161,83 @@ def test_warehouse_load_append_truncate_drop(spark, lake, tmp_path):
     assert spark.table(staging).columns == GOLD.names
     drop_star(spark, lake.database)
     assert [t.name for t in spark.catalog.listTables(lake.database)] == [STAGING_TABLE]
+
+
+# --- files that must not get lost
+
+
+def values(spark, lake):
+    spark.catalog.refreshTable(f"{lake.database}.{STAGING_TABLE}")  # a stream writes in a session of its own
+    return sorted(r.valor_da_compra for r in rows(spark, lake, STAGING_TABLE))
+
+
+def stream(spark, lake, tmp_path, **options):
+    run_stream(spark, str(tmp_path / "landing"), lake, f"{tmp_path}/c", **options).awaitTermination()
+    return values(spark, lake)
+
+
+def test_late_file_with_an_old_date_is_streamed(spark, lake, tmp_path):
+    landing = tmp_path / "landing"
+    write_csv(landing / "registros_a.csv", [sale(valor="1")])
+    assert stream(spark, lake, tmp_path) == [1.0]
+    write_csv(landing / "registros_b.csv", [sale(valor="2")])
+    os.utime(landing / "registros_b.csv", (1_000_000_000, 1_000_000_000))
+    assert stream(spark, lake, tmp_path) == [1.0, 2.0]
+    run_batch(spark, str(landing), lake)
+    assert values(spark, lake) == [1.0, 2.0]
+
+
+@pytest.mark.parametrize("stamped", [False, True])
+def test_changed_file_is_streamed_again(spark, lake, tmp_path, stamped):
+    file = tmp_path / "landing" / "registros_a.csv"
+    write_csv(file, [sale(valor="200")])
+    os.utime(file, (1_500_000_000, 1_500_000_000))
+    assert stream(spark, lake, tmp_path, stamped=stamped) == [200.0]
+    write_csv(file, [sale(valor="7"), sale(valor="8")])
+    os.utime(file, (1_600_000_000, 1_600_000_000))
+    expected = [7.0, 8.0, 200.0] if stamped else [7.0, 8.0]
+    assert stream(spark, lake, tmp_path, stamped=stamped) == expected
+    assert stream(spark, lake, tmp_path, stamped=stamped) == expected
+    run_batch(spark, str(tmp_path / "landing"), lake, stamped=stamped)
+    assert values(spark, lake) == expected
+
+
+def test_equal_names_in_two_folders(spark, lake, tmp_path):
+    for k, folder in enumerate(("x", "y")):
+        file = tmp_path / "landing" / folder / "registros_a.csv"
+        write_csv(file, [sale(valor=str(k))])
+        os.utime(file, (1_500_000_000, 1_500_000_000))
+    run_stream(spark, f"{tmp_path}/landing/*", lake, f"{tmp_path}/c", max_files=1).awaitTermination()
+    assert values(spark, lake) == [0.0, 1.0]
+    assert run_batch(spark, f"{tmp_path}/landing/*", lake) != []
+    assert values(spark, lake) == [0.0, 1.0]
+
+
+def test_malformed_lines_are_kept_aside(spark, lake, tmp_path):
+    landing = tmp_path / "landing"
+    write_csv(landing / "registros_a.csv", [sale(valor="5")])
+    with open(landing / "registros_a.csv", "a", encoding="utf-8") as file:
+        good = "2020-03-04 05:06:07,ana,LIMA,a@b,1,Cadeira,{},Redes,Web,Campanha,Rui,10%,OUTONO\n"
+        file.write(good.format("2500,50"))
+        file.write("only,two\n")
+    run_batch(spark, str(landing), lake)
+    assert values(spark, lake) == [5.0]
+    assert spark.read.parquet(lake.rejected).count() == 2
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run_batch(spark, str(landing), lake, strict=True)
+    assert stream(spark, lake, tmp_path) == [5.0]
+    assert spark.read.parquet(lake.rejected).count() >= 2
+
+
+def test_run_that_loses_a_sale_fails(spark, lake, tmp_path, monkeypatch):
+    land_all(tmp_path / "landing")
+
+    def losing(spark, database):
+        rebuild_star(spark, database)
+        fact = f"{database}.{FACT_TABLE}"
+        kept = spark.createDataFrame(spark.table(fact).orderBy("venda_id").collect()[1:], spark.table(fact).schema)
+        kept.write.insertInto(fact, overwrite=True)
+
+    monkeypatch.setattr("retalake.plans.jobs.rebuild_star", losing)
+    with pytest.raises(CheckFailed, match="vendas: 69 <> 70"):
+        run_batch(spark, str(tmp_path / "landing"), lake)
