@@ -43,6 +43,8 @@ CHUNK = 256
 SUPPORT = 3
 CONFIDENCE = 0.8
 ROUNDS = 3
+#: One in so many texts is counted for the lower bound.
+BOUND = 16
 
 FOUND = "array<struct<start:int,end:int,value:string,before:string>>"
 
@@ -197,15 +199,24 @@ def personal_data(
     )
     occurrences = tables.save(occurrences.where("context IS NOT NULL"), "occurrences")
 
-    # contexts that can ever be accepted: enough different values follow them
-    able = occurrences.select("context", "value").distinct().groupBy("context").agg(F.count("*").alias("c"))
-    able = tables.save(able.where(F.col("c") >= support).select("context"), "able")
-    words = docs.select(plain_words(F.col("text")).alias("w"))
-    pairs = F.transform(
-        F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", F.get("w", i), x)
-    )
-    totals = words.select(F.explode(pairs).alias("context")).join(counted_broadcast(able), "context", "left_semi")
-    totals = tables.save(totals.groupBy("context").agg(F.count("*").alias("total")), "totals")
+    # Contexts that can ever be accepted: enough different values follow them, and often enough. A count over part of
+    # the texts is a lower bound of the whole count, so the everyday contexts it rules out need no whole count.
+    able = occurrences.groupBy("context", "value").agg(F.count("*").alias("n"))
+    able = able.groupBy("context").agg(F.count("*").alias("values"), F.sum("n").alias("most"))
+    able = tables.save(able.where(F.col("values") >= support).select("context", "most"), "able")
+    words = docs.select(plain_words(F.col("text")).alias("w"), F.pmod(text_key(), F.lit(BOUND)).alias("part"))
+
+    def counted(words: DataFrame, contexts: DataFrame) -> DataFrame:
+        pairs = F.transform(
+            F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", F.get("w", i), x)
+        )
+        found = words.select(F.explode(pairs).alias("context")).join(counted_broadcast(contexts), "context", "left_semi")
+        return found.groupBy("context").agg(F.count("*").alias("total"))
+
+    bound = counted(words.where("part = 0"), able.select("context"))
+    able = able.join(bound, "context", "left").where(F.col("most") >= confidence * F.coalesce("total", F.lit(0)))
+    able = tables.save(able.select("context"), "able-bound")
+    totals = tables.save(counted(words, able), "totals")
 
     patterns = accepted_contexts(occurrences, totals, tables, support, confidence, rounds)
     learned = occurrences.where("NOT seed").join(counted_broadcast(patterns), "context", "left_semi")

@@ -1,0 +1,48 @@
+"""Registered queries of the subpackage, and the pipeline's stages, over whole small tables."""
+
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import corpus_pipeline  # noqa: E402
+import oracle_compare  # noqa: E402
+
+import __spark_entry__ as contract  # noqa: E402
+from retalake.llm import oracle, queries  # noqa: E402
+from retalake.llm.common import table  # noqa: E402
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def test_all_are_registered():
+    assert {*queries.QUERIES, "pipeline"} <= set(contract.queries())
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert set(oracle.ORACLES) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(oracle.ORACLES))
+def test_query_equals_its_sql(spark, name):
+    rows, problem = oracle_compare.compare(spark, oracle_compare.duck(SF_DIR), SF_DIR, name)
+    assert not problem
+    assert rows > 0
+
+
+def test_pipeline(spark):
+    docs = table(spark, SF_DIR, "documents").withColumn("stats", F.lit(1))
+    kept = [docs.count()]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF_DIR)
+        assert after.columns == docs.columns
+        docs = spark.createDataFrame(after.collect(), after.schema)
+        kept.append(docs.count())
+    assert kept[0] > kept[1] >= kept[2] >= kept[3] == kept[4] > 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    assert {r[0] for r in pieces.select("doc_id").distinct().collect()} == {r[0] for r in docs.select("doc_id").collect()}
+    whole = corpus_pipeline.run(spark, SF_DIR)
+    assert whole.groupBy("doc_id").agg(F.sum("length")).count() == kept[4]
