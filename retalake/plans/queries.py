@@ -22,7 +22,6 @@ from retalake.schemas import (
     DIMENSIONS,
     FACT_TABLE,
     GOLD,
-    SILVER_SOURCE,
     SOURCE,
     STAGING_TABLE,
     YEAR,
