@@ -5,23 +5,25 @@
 2. Texts of equal sets are one class, so copies cost one row from here on.
 3. Bands of four minima put classes into buckets: 32 bands miss a pair of
    similarity 0.85 with probability (1 - 0.85^4)^32 < 1e-10.
-4. In each bucket every class is compared with one pivot, on full sets. Pivots
-   differ between the bands, so dense groups mostly merge here, and the number
-   of comparisons is linear.
+4. In each bucket every class is compared with one pivot. Pivots differ between
+   the bands, so dense groups mostly merge here, and the number of comparisons
+   is linear.
 5. Buckets whose classes are then still in different components are compared
-   completely, except inside a component: a pair is verified, on full sets, if
-   its sketches agree in 84 of 128 minima or more (six standard deviations
-   under 0.85), in the first band that the pair shares. Large buckets are cut
+   completely, except inside a component, over a finer sketch of 2048 minima,
+   and each pair only in the first band that it shares. Large buckets are cut
    into blocks that different tasks compare.
-6. Components by large-star and small-star; the smallest id names each.
+6. A fine sketch rules a pair out when it lies six standard deviations under
+   the threshold; every other pair is decided on full sets.
+7. Components by large-star and small-star; the smallest id names each.
 
-Only ids, sketches and the sets of classes that share a bucket are moved.
+Texts never move. Sets and fine sketches are made, where texts are read, for
+the documents in a bitmap of fixed size that holds the ids in question.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +33,13 @@ from pyspark.sql import functions as F
 
 from retalake.llm.common import join_rows, scratch
 from retalake.llm.components import connected_components
+from retalake.session import Scratch
 
 ROWS = 4
-BANDS = 32
+BANDS = 32  # at most 64: their number takes the low bits of a bucket
+FINE = 2048
+#: Bits of the bitmap of ids. Where more ids are in question, more sets than needed are made, and none is missed.
+BITMAP = 1 << 25
 #: Classes of one bucket that one task compares with each other.
 BLOCK = 1024
 #: Known word hashes that a worker keeps; only speed depends on it.
@@ -104,15 +110,34 @@ def sketches(docs: DataFrame, size: int, hashes: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, shingles): the sorted set as bytes."""
+def least_agreeing(count: int, percent: int, width: int) -> int:
+    """Agreeing minima under which a sketch of ``count`` minima of ``width`` bits rules a pair out."""
+    p = percent / 100
+    p += (1 - p) / (1 << width)  # minima that differ still agree in their bits now and then
+    return int(count * p - DEVIATIONS * (count * p * (1 - p)) ** 0.5)
+
+
+def chosen_texts(docs: DataFrame, nodes: DataFrame, make: Callable[[str | None], bytes], name: str) -> DataFrame:
+    """(node, name): ``make(text)`` of the documents whose id is among ``nodes`` (doc_id), and of a few others."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP))
+    word = F.floor(place / 32).cast("int").alias("word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(32)).cast("int"))
+    words = nodes.groupBy(word).agg(F.bit_or(bit).alias("bits")).toPandas()  # at most BITMAP / 32 rows
+    bitmap = np.zeros(BITMAP // 32, np.uint32)
+    bitmap[words["word"].to_numpy(int)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for batch in batches:
-            sets = [shingle_set(t.as_py(), size).astype("<u8").tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+            at = batch.column(2).to_numpy()
+            some = pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+            few = batch.filter(some)
+            made = [make(t.as_py()) for t in few.column(1)]
+            yield pa.RecordBatch.from_arrays([few.column(0), pa.array(made, pa.binary())], ["node", name])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "node long, shingles binary")
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", place.alias("place"))
+    return texts.mapInArrow(run, f"node long, {name} binary")
 
 
 def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
@@ -130,23 +155,23 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int, tables, name: str) -> DataFrame:
-    """The written (a, b) of ``pairs`` that are near on their full sets; only texts in a pair are read into sets."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(nodes, "doc_id", "left_semi")
-    sets = tables.save(full_sets(texts, size), f"{name}-sets")
+def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int, tables: Scratch, name: str) -> DataFrame:
+    """The written (a, b) of ``pairs`` that are near on their full sets."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    sets = chosen_texts(docs, nodes, lambda t: shingle_set(t, size).astype("<u8").tobytes(), "shingles")
+    sets = tables.save(sets, f"{name}-sets")
     left = sets.withColumnsRenamed({"node": "a", "shingles": "sa"})
     right = sets.withColumnsRenamed({"node": "b", "shingles": "sb"})
     return tables.save(confirmed(pairs.join(left, "a").join(right, "b"), percent).distinct(), f"{name}-links")
 
 
 def bucket_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
-    """(a, b) to verify from members (bucket, band, lo, hi, own, node, component, n, sketch), grouped by bucket, lo, hi."""
+    """(a, b) to verify from members (bucket, lo, hi, own, node, component, n, sketch, fine), grouped by bucket, lo, hi."""
 
     def compare(rows: dict[str, np.ndarray], out: list[np.ndarray]) -> None:
-        node, part, n, own, sketch = (rows[k] for k in ("node", "component", "n", "own", "sketch"))
+        node, part, n, own, sketch, fine = (rows[k] for k in ("node", "component", "n", "own", "sketch", "fine"))
         words = sketch.view("<u8")  # a band is eight bytes
-        band = rows["band"][0]
+        band = rows["bucket"][0] & 63
         crossing = rows["lo"][0] != rows["hi"][0]
         for i in range(len(node) - 1):
             ok = (part[i + 1 :] != part[i]) & (node[i + 1 :] != node[i])
@@ -154,15 +179,15 @@ def bucket_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
             if crossing:
                 ok &= own[i + 1 :] != own[i]
             j = np.flatnonzero(ok) + i + 1
-            if len(j):
-                j = j[(sketch[j] == sketch[i]).sum(axis=1) >= least]
             if len(j):
                 j = j[(words[j] == words[i]).argmax(axis=1) == band]
+            if len(j):
+                j = j[(fine[j] == fine[i]).sum(axis=1) >= least]
             if len(j):
                 out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("bucket", "lo", "hi", "band", "own", "node", "component", "n")
+        names = ("bucket", "lo", "hi", "own", "node", "component", "n")
         held: dict[str, np.ndarray] = {}
 
         def groups(rows: dict[str, np.ndarray], last: bool) -> tuple[list[np.ndarray], dict[str, np.ndarray]]:
@@ -184,7 +209,8 @@ def bucket_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
-            rows["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u2").reshape(batch.num_rows, -1)
+            for k, kind in (("sketch", "<u2"), ("fine", "u1")):
+                rows[k] = np.frombuffer(b"".join(batch.column(k).to_pylist()), kind).reshape(batch.num_rows, -1)
             if held:
                 rows = {k: np.concatenate([held[k], v]) for k, v in rows.items()}
             out, held = groups(rows, last=False)
@@ -215,15 +241,18 @@ def near_duplicates(
     classes = tables.save(classes, "classes")
 
     width = 2 * ROWS
-    keys = [F.xxhash64(F.lit(b), F.substring("sketch", width * b + 1, width)) for b in range(bands)]
-    banded = classes.select("node", "set_key", F.posexplode(F.array(*keys)).alias("band", "bucket"))
-    order = F.struct(F.xxhash64("node", "bucket"), F.col("node").alias("node"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min(order)["node"].alias("pivot"))
-    shared = tables.save(shared.where("size > 1"), "buckets")
-    members = tables.save(banded.join(shared, "bucket"), "members")
+    keys = [
+        F.xxhash64(F.substring("sketch", width * b + 1, width)).bitwiseAND(F.lit(-64)).bitwiseOR(F.lit(b)) for b in range(bands)
+    ]
+    banded = classes.select("node", F.explode(F.array(*keys)).alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = tables.save(banded.join(tables.save(shared, "buckets"), "bucket"), "members")
 
-    stars = members.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-    near = verified(docs, tables.save(stars.distinct(), "stars"), size, percent, tables, "star")
+    order = F.struct(F.xxhash64("node", "bucket"), F.col("node").alias("node"))
+    pivots = members.groupBy("bucket").agg(F.min(order)["node"].alias("pivot"))
+    stars = members.join(pivots, "bucket").where("node <> pivot")
+    stars = stars.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    near = verified(docs, tables.save(stars, "stars"), size, percent, tables, "star")
     repeated = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
     repeated = linkable.join(repeated, "doc_id", "left_semi").select("doc_id", "set_key").distinct()
     repeated = repeated.join(classes.select("set_key", "node"), "set_key").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
@@ -231,21 +260,22 @@ def near_duplicates(
 
     placed = members.where("size > 2").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = placed.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    placed = placed.join(split.select("bucket"), "bucket", "left_semi").join(classes.select("set_key", "n", "sketch"), "set_key")
+    placed = tables.save(placed.join(split.select("bucket"), "bucket", "left_semi"), "placed")
+    a, b = hash_functions(FINE)
+    fine = chosen_texts(
+        docs,
+        placed.select(F.col("node").alias("doc_id")),
+        lambda t: minima(shingle_set(t, size), a, b).astype("u1").tobytes(),
+        "fine",
+    )
+    known = classes.select("node", "n", "sketch").join(tables.save(fine, "fine"), "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    placed = placed.select(
-        "bucket",
-        F.least("own", "other").alias("lo"),
-        F.greatest("own", "other").alias("hi"),
-        F.col("band").cast("int").alias("band"),
-        *("own", "node", "component", "n", "sketch"),
-    )
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).join(known, "node")
+    lo, hi = F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    placed = placed.select("bucket", lo, hi, "own", "node", "component", "n", "sketch", "fine")
     grouped = placed.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    count, p = bands * ROWS, percent / 100
-    least = int(count * p - DEVIATIONS * (count * p * (1 - p)) ** 0.5)
-    rest = tables.save(bucket_pairs(grouped, least, percent).distinct(), "rest")
+    rest = tables.save(bucket_pairs(grouped, least_agreeing(FINE, percent, 8), percent).distinct(), "rest")
     late = verified(docs, rest, size, percent, tables, "rest")
 
     # the rest links whole components of the first round
