@@ -97,6 +97,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """At most ``most`` words, the most frequent first; of words about as frequent (within 0.5 %) all or none.
+
+    A histogram of the logarithms of the counts gives the cut, so that no task sends more than it has to.
+    """
+    step = F.floor(F.log("n") * 200)
+    left, least = most, None
+    for row in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):  # a few thousand steps
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row["step"]
+    if least is None:
+        return {}
+    found = counts.where(step >= least).collect()  # at most ``most`` rows
+    return {bytes(r["word"]): r["n"] for r in sorted(found, key=lambda r: (-r["n"], bytes(r["word"])))}
+
+
 def encoded(docs: DataFrame, common: dict[bytes, tuple[int, int]]) -> DataFrame:
     """A row per document: row (unique), doc_id, held_out, n_tokens, known, logs and rare_logs (sums of log10(count + 1)
     over the common words, and over those of them in class RARE), n_rare, ids (classes, 16 bits each), others (words
@@ -290,11 +308,12 @@ def score_documents(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
     counts = tables.save(word_counts(docs.where("NOT held_out")), "counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = counts.orderBy(F.desc("n"), "word").limit(common).collect()  # at most ``common`` rows
-    vocabulary = {bytes(x["word"]): x["n"] for x in frequent}
+    vocabulary = most_frequent(counts, common)
     heads = [w for w in vocabulary if w != END_WORD][: classes - 2]
     classed = {END_WORD: END} | {w: i + 2 for i, w in enumerate(heads)}
-    ends = vocabulary.get(END_WORD, counts.where(F.col("word") == END_WORD).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    ends = vocabulary.get(END_WORD)
+    if ends is None:
+        ends = counts.where(F.col("word") == END_WORD).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shared = {w: (classed.get(w, RARE), c) for w, c in ({END_WORD: ends} | vocabulary).items()}
     class_counts = np.zeros(len(heads) + 2, np.int64)
     class_counts[END] = ends
