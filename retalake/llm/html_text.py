@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retalake.llm.common import scratch
+from retalake.llm.common import counted_broadcast, scratch
 
 #: Pages of a host that its wrapper is learned from, and elements of a page that are aligned.
 PAGES_PER_HOST = 8
@@ -38,6 +38,8 @@ NODES = 400
 #: A place is template if it was constant in so many of its matches, and had so many.
 CONSTANT = 0.8
 MATCHES = 3
+#: Wrappers that may be broadcast; more meet the pages in a shuffled join.
+BROADCAST_HOSTS = 20_000
 
 TAG = re.compile(r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/]|$)", re.I)
@@ -302,7 +304,8 @@ def extracted(spark: SparkSession, pages: DataFrame) -> DataFrame:
     by_salt = Window.partitionBy("host", "salt").orderBy("h")  # a hot host is cut down in parts first
     few = salted.withColumn("k", F.row_number().over(by_salt)).where(F.col("k") <= PAGES_PER_HOST).drop("k")
     few = tables.save(few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PAGES_PER_HOST), "few")
-    chosen = hosted.withColumn("h", F.xxhash64("html")).join(few.select("host", "h"), ["host", "h"], "left_semi")
+    chosen = hosted.withColumn("h", F.xxhash64("html"))
+    chosen = chosen.join(counted_broadcast(few.select("host", "h")), ["host", "h"], "left_semi")
     chosen = chosen.dropDuplicates(["host", "h"]).select("host", "h", "html")
 
     def learn(key: tuple, table: pa.Table) -> pa.Table:
@@ -322,6 +325,7 @@ def extracted(spark: SparkSession, pages: DataFrame) -> DataFrame:
                 [*columns, pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]
             )
 
-    joined = hosted.join(wrappers.where(F.size("template") > 0), "host", "left").select("page_id", "url", "html", "template")
+    useful = counted_broadcast(wrappers.where(F.size("template") > 0), BROADCAST_HOSTS)
+    joined = hosted.join(useful, "host", "left").select("page_id", "url", "html", "template")
     kind = dict(pages.dtypes)
     return joined.mapInArrow(run, f"page_id {kind['page_id']}, url string, text string, n_chars long")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm.common import join_rows, scratch
+from retalake.llm.common import counted_broadcast, join_rows, scratch
 from retalake.llm.components import connected_components
 from retalake.session import Scratch
 
@@ -303,5 +303,5 @@ def near_duplicates(
 def one_of_each(spark: SparkSession, docs: DataFrame, percent: int = 85, size: int = 3) -> DataFrame:
     """The documents that name their component, with all their columns; a repeated doc_id keeps its rows."""
     dropped = near_duplicates(spark, docs, percent, size).where("NOT kept").select("doc_id").distinct()
-    dropped = scratch(spark).save(dropped, "dropped")
+    dropped = counted_broadcast(scratch(spark).save(dropped, "dropped"))
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
