@@ -38,13 +38,13 @@ SENTENCE_CUT = 4
 OTHER_CUT = 12
 #: Longest stretch without a place to cut.
 STRETCH = 64
-#: Tokens that are cut into sequences at a time, and characters of text that are encoded at a time.
+#: Tokens that are cut into sequences at a time, and bytes of text that are encoded at a time.
 SEGMENT = 400_000
 CHARS = 2_000_000
 #: Texts that the tokenizer gets at a time; its own records of a text are far larger than the ids.
 AT_A_TIME = 16
 #: Distinct parts whose ids a task remembers; only speed depends on it.
-CACHE = 400_000
+CACHE = 250_000
 
 
 class Encoder:
@@ -255,16 +255,14 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, with_ids: bool = Fal
         encoder = Encoder(tokenizer)
         packer = Packer(encoder.ends, size, TaskContext.get().partitionId() << 33, with_ids)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            doc_ids = batch.column(0).to_pylist()
+            texts = batch.column(1)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
             begin = 0
-            while begin < len(texts):
-                end, chars = begin, 0
-                while end < len(texts) and (end == begin or chars + len(texts[end]) <= CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                ids, counts = encoder.encode(texts[begin:end])
-                packer.add(ids, doc_ids[begin:end], counts)
+            while begin < len(texts):  # only a part of the batch is turned into strings at a time
+                before = sizes[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(sizes, before + CHARS, "right")))
+                ids, counts = encoder.encode([t or "" for t in texts.slice(begin, end - begin).to_pylist()])
+                packer.add(ids, batch.column(0).slice(begin, end - begin).to_pylist(), counts)
                 begin = end
                 if len(packer.ids) >= SEGMENT:
                     yield packer.flush(last=False)
