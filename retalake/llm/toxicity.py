@@ -33,6 +33,8 @@ PREFIXES = (4, 5, 7)
 #: Toxic texts that a feature needs.
 SUPPORT = 4
 COUNTERFACTUAL = 4.0
+#: Pairs of a text and a term that it names whose counterfactuals a step looks at; steps go through all of them in turn.
+PAIRS = 1000
 RIDGE = 1e-5
 STEPS = 500
 THRESHOLD = 0.7
@@ -104,18 +106,23 @@ def fit(n: int, rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray, groups
         names[k, g] = 1
     sizes = names.sum(axis=1)
     named = (x @ names.T >= sizes) & (sizes > 0) if len(groups) else np.zeros((n, 0), bool)
-    texts, terms = np.nonzero(named)
+    all_texts, all_terms = np.nonzero(named)
     balance = np.where(toxic == 1, 0.5 * n / max(1, toxic.sum()), 0.5 * n / max(1, n - toxic.sum()))
     weight = np.sqrt(balance)
     weight /= weight.sum()
+    order, step = np.random.default_rng(1).permutation(len(all_texts)), 0
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        z = x @ w[:-1] + w[-1]
+        nonlocal step
+        z = x @ w[:-1].astype(np.float32) + w[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         d = weight * (p - toxic)
-        g = np.concatenate([x.T @ d, [d.sum()]]) + RIDGE * np.concatenate([w[:-1], [0]])
-        if len(texts):
+        g = np.concatenate([x.T @ d.astype(np.float32), [d.sum()]]) + RIDGE * np.concatenate([w[:-1], [0]])
+        if len(all_texts):
             swap = names @ w[:-1]
+            some = order[(step * PAIRS + np.arange(min(PAIRS, len(order)))) % len(order)]
+            step += 1
+            texts, terms = all_texts[some], all_terms[some]
             change = swap[None, :] - swap[terms][:, None]  # of the score before the sigmoid, by text that names and other term
             other = 1 / (1 + np.exp(-np.clip(z[texts][:, None] + change, -30, 30)))
             p0 = p[texts][:, None]
@@ -124,7 +131,7 @@ def fit(n: int, rows: np.ndarray, columns: np.ndarray, toxic: np.ndarray, groups
             total = (up - down).sum(axis=1)
             moved = up.sum(axis=0) - np.bincount(terms, up.sum(axis=1), len(groups))
             d_x = np.bincount(texts, total, n)
-            g += COUNTERFACTUAL * np.concatenate([x.T @ d_x + names.T @ moved, [d_x.sum()]])
+            g += COUNTERFACTUAL * np.concatenate([x.T @ d_x.astype(np.float32) + names.T @ moved, [d_x.sum()]])
         return g
 
     prior = weight @ toxic
