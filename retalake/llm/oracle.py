@@ -42,10 +42,10 @@ shingles AS (
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
 common AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_common FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
 ),
 links AS (
-  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 85 * (x.n + y.n - both)
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * n_common >= 85 * (x.n + y.n - n_common)
 ),
 edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (
