@@ -1,29 +1,36 @@
 """Main text of web pages by wrapper induction.
 
-A page becomes a tree of elements. Pages of one host are aligned by simple tree
-matching: a wrapper is learned from a bounded number of a host's pages, each
-matched with the next one. Nodes that meet with the same text on both sides are
-constant and belong to the template; nodes that meet with different text are
-slots. A host's wrapper tells for each place (the tags and classes from the root
-down to a block) how often it was constant.
+A page becomes a tree of elements. The trees of a host's pages, 8 at most, and of each
+kind of its pages, are laid over each other from the root down, elements of equal
+tag and classes on each other (a style tree). The place of a block is its path in
+that tree. For each place it is counted on how many pages it is met, and on how
+many with which text; copies, pages whose blocks all have the same texts, count
+once. A text that stands at its place on nearly all pages that have the place is
+constant and belongs to the template; so do all repeated texts of a place outside
+of articles where nearly every text is repeated. A place outside of articles
+where nearly no text is repeated is a slot.
 
 A page's blocks are then read in page order. What lies in elements that say by
 tag, role or class name what they are (menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, comments of readers) is left out, and so are
-blocks whose place the wrapper knows as constant. If a page marks its article, or
-else its main part, all the other blocks of that part count, and only these.
-
-Hosts are grouped for learning only, over pages chosen by hash, a fixed number
-per host; all other pages meet the small wrapper of their host in a join that
-Spark may split, so a host with a third of all pages is no hot group.
+notices, adverts, forms, scripts, comments of readers) is left out, and so is what
+belongs to the template, inside an article as well. If a page marks its article,
+or else its main part, other blocks count only if they fill a slot and are not
+mostly links. A marked part of which the template leaves nothing stays whole: it
+is one of many near copies.
+
+Kinds are told apart by the upper levels of the tree. What is shuffled is hashes
+of places and texts, summed per task first, so a host with a third of all pages
+is no hot group; pages stay where they are and meet the small wrapper of their
+host in a join that Spark may split.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -32,18 +39,21 @@ from pyspark.sql import functions as F
 
 from retalake.llm.common import counted_broadcast, scratch
 
-#: Pages of a host that its wrapper is learned from, and elements of a page that are aligned.
+#: Pages of a host that its wrapper is learned from.
 PAGES_PER_HOST = 8
-NODES = 400
-#: A place is template if it was constant in so many of its matches, and had so many.
+#: A text is constant if it stands at its place on so many of the pages with the place, and on so many pages at least.
 CONSTANT = 0.8
 MATCHES = 3
-#: Wrappers that may be broadcast; more meet the pages in a shuffled join.
+#: Levels of the tree that tell kinds of pages apart.
+KIND_LEVELS = 3
+#: Wrappers, and keys in them, that may be broadcast; more meet the pages in a shuffled join.
 BROADCAST_HOSTS = 20_000
+BROADCAST_KEYS = 2_000_000
 
 TAG = re.compile(r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/]|$)", re.I)
 BLANKS = re.compile(r"\s+")
+DIGITS = re.compile(r"\d+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(("script", "style", "textarea", "title", "xmp", "noframes", "iframe", "noembed"))
 #: Elements that end a line of text.
@@ -144,7 +154,7 @@ def parse(page: str) -> Node:
             if stack[k].tag in BLOCK and stack[k].tag not in CLOSED_BY:
                 break
         skip, said = boilerplate(tag, m[3] or "", any(n.tag in ("article", "main") for n in stack))
-        node = Node(tag, f"{tag}.{BLANKS.sub('.', said.strip())}" if said else tag, skip)
+        node = Node(tag, f"{tag}.{DIGITS.sub('0', BLANKS.sub('.', said.strip()))}" if said else tag, skip)
         stack[-1].parts.append(node)
         stack[-1].children.append(node)
         if tag in RAW:
@@ -159,28 +169,29 @@ class Block(NamedTuple):
     text: str
     place: str
     level: int  # 2 in an article, 1 in the page's main part, 0 elsewhere
+    linked: int  # characters in links
 
 
 def blocks(root: Node) -> list[Block]:
     """Blocks of text outside of skipped parts, in page order."""
     out: list[Block] = []
-    runs: list[str] = []
+    runs: list[tuple[str, bool]] = []
     where = [("", 0)]
 
     def close() -> None:
-        text = BLANKS.sub(" ", "".join(runs)).strip()
+        text = BLANKS.sub(" ", "".join(r for r, _ in runs)).strip()
         if text:
-            out.append(Block(text, *where[-1]))
+            out.append(Block(text, *where[-1], sum(len(r) for r, link in runs if link)))
         runs.clear()
 
-    todo: list[tuple[str | Node | None, str, int]] = [(root, "", 0)]
+    todo: list[tuple[str | Node | None, str, int, bool]] = [(root, "", 0, False)]
     while todo:
-        item, place, inside = todo.pop()
+        item, place, inside, link = todo.pop()
         if item is None:  # end of a block element
             close()
             where.pop()
         elif isinstance(item, str):
-            runs.append(item)
+            runs.append((item, link))
         elif item.skip:
             if item.tag in BLOCK:
                 close()
@@ -190,24 +201,15 @@ def blocks(root: Node) -> list[Block]:
             if item.tag in BLOCK:
                 close()
                 where.append((here, inside))
-                todo.append((None, here, inside))
-            todo += [(p, here, inside) for p in reversed(item.parts)]
+                todo.append((None, here, inside, link))
+            todo += [(p, here, inside, link or item.tag == "a") for p in reversed(item.parts)]
     close()
     return out
 
 
-def aligned(a: Node, b: Node, budget: int = NODES) -> list[tuple[Node, Node]]:
+def aligned(a: Node, b: Node) -> list[tuple[Node, Node]]:
     """Pairs of nodes in a largest top-down, order-preserving matching of equal labels (simple tree matching)."""
 
-    def small(root: Node) -> list[Node]:
-        kept, todo = [], [root]
-        while todo and len(kept) < budget:
-            n = todo.pop()
-            kept.append(n)
-            todo += reversed(n.children)
-        return kept
-
-    in_a, in_b = set(map(id, small(a))), set(map(id, small(b)))
     memo: dict[tuple[int, int], tuple[int, list]] = {}
 
     def match(x: Node, y: Node, depth: int = 0) -> int:
@@ -215,7 +217,7 @@ def aligned(a: Node, b: Node, budget: int = NODES) -> list[tuple[Node, Node]]:
         key = (id(x), id(y))
         if key in memo:
             return memo[key][0]
-        xs, ys = ([c for c in n.children if id(c) in kept] for n, kept in ((x, in_a), (y, in_b)))
+        xs, ys = x.children, y.children
         if depth > 100:
             xs = []
         best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
@@ -244,88 +246,154 @@ def aligned(a: Node, b: Node, budget: int = NODES) -> list[tuple[Node, Node]]:
     return out
 
 
-def whole_text(node: Node) -> str:
-    out, todo = [], [node]
-    while todo:
-        n = todo.pop()
-        if isinstance(n, str):
-            out.append(n)
-        else:
-            todo += reversed(n.parts)
-    return BLANKS.sub(" ", " ".join(out)).strip()
+def entry(kind: str, said: str, place: str) -> str:
+    """Name of a text at a place, or of the place itself (said = '*'), on the pages of a kind ('' for all kinds)."""
+    return f"{kind} {said} {place}"
 
 
-def places(root: Node) -> dict[int, str]:
-    found, todo = {}, [(root, "")]
-    while todo:
-        n, place = todo.pop()
-        here = f"{place}/{n.label}" if n.tag in BLOCK else place
-        found[id(n)] = here
-        todo += [(c, here) for c in n.children]
-    return found
+def digest(text: str) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def key(name: str) -> int:
+    return int.from_bytes(blake2b(name.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def kind_of(found: list[Block]) -> str:
+    """Kind of a page: the upper levels of its tree, as far as they hold text."""
+    return digest(" ".join(sorted({"/".join(b.place.split("/")[: KIND_LEVELS + 1]) for b in found})))
+
+
+def seen(page: str | None) -> tuple[int, list[tuple[str, str, bool]]]:
+    """Fingerprint of a page's texts, and the distinct (place, text at the place or the place again, outside of articles)."""
+    found = blocks(parse(page or ""))
+    rows = {}
+    for kind in ("", kind_of(found)):
+        for b in found:
+            place = entry(kind, "*", b.place)
+            rows[place, place, b.level < 2] = None
+            rows[place, entry(kind, digest(b.text), b.place), b.level < 2] = None
+    return key("\n".join(b.text for b in found)), list(rows)
+
+
+def induced(pages: list[str]) -> tuple[list[str], list[str]]:
+    """Template and slots of one host's pages, as `wrappers` learns them."""
+    counts = Counter(row for rows in dict(map(seen, pages)).values() for row in rows)
+    met, all_of, repeated = defaultdict(int), defaultdict(int), defaultdict(int)
+    for (place, text, outer), n in counts.items():
+        if text == place:
+            met[place, outer] = n
+        else:
+            all_of[place, outer] += n
+            repeated[place, outer] += n * (n >= MATCHES)
+    template = {
+        text
+        for (place, text, outer), n in counts.items()
+        if text != place and n >= MATCHES
+        and (n >= CONSTANT * met[place, outer] or (outer and repeated[place, outer] >= CONSTANT * all_of[place, outer]))
+    }
+    slots = {p for (p, outer), n in met.items() if outer and n >= MATCHES and repeated[p, outer] <= (1 - CONSTANT) * all_of[p, outer]}
+    return sorted(template), sorted(slots)
 
 
 def wrapper(pages: list[str]) -> list[str]:
-    """Places that are template: constant between neighbouring pages that are not copies of each other."""
-    trees = [parse(p) for p in dict.fromkeys(pages)]
-    constant: Counter[str] = Counter()
-    met: Counter[str] = Counter()
-    for a, b in zip(trees, trees[1:], strict=False):
-        where = places(a)
-        for x, y in aligned(a, b):
-            text = whole_text(x)
-            if x.tag in BLOCK and text and x.text.strip():
-                met[where[id(x)]] += 1
-                constant[where[id(x)]] += text == whole_text(y)
-    return sorted(p for p, n in met.items() if n >= MATCHES and constant[p] >= CONSTANT * n)
-
-
-def main_text(page: str | None, template: frozenset[str] = frozenset()) -> str:
+    """Texts at places that are template on one host's pages."""
+    return induced(pages)[0]
+
+
+def chosen(page: str | None, template: frozenset[int], slots: frozenset[int]) -> str:
+    """Main text of a page; template and slots are keys of their names."""
     found = blocks(parse(page or ""))
     level = max((b.level for b in found), default=0)
-    return "\n".join(b.text for b in found if b.level == level and (level or b.place not in template))
+    kinds = ("", kind_of(found)) if template or slots else ()
+
+    def known(among: frozenset[int], said: str, place: str) -> bool:
+        return bool(among) and any(key(entry(kind, said, place)) in among for kind in kinds)
+
+    kept = [
+        b
+        for b in found
+        if (b.level == level or (2 * b.linked <= len(b.text) and known(slots, "*", b.place)))
+        and not (template and known(template, digest(b.text), b.place))
+    ]
+    if not kept and level:
+        kept = [b for b in found if b.level == level]
+    return "\n".join(b.text for b in kept)
+
+
+def main_text(page: str | None, template: frozenset[str] = frozenset(), slots: frozenset[str] = frozenset()) -> str:
+    return chosen(page, frozenset(map(key, template)), frozenset(map(key, slots)))
 
 
 def host(url: str) -> object:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
+def wrappers(hosted: DataFrame) -> DataFrame:
+    """A row per host that has a wrapper: host, template, slots, learned from the pages given."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                pages = [seen(p.as_py()) for p in part.column("html")]
+                rows = [[{"place": key(p), "item": key(t), "outer": o} for p, t, o in found] for _, found in pages]
+                columns = [part.column("host"), pa.array([h for h, _ in pages], pa.int64()), pa.array(rows, kind)]
+                yield pa.RecordBatch.from_arrays(columns, ["host", "h", "rows"])
+
+    kind = pa.list_(pa.struct([("place", pa.int64()), ("item", pa.int64()), ("outer", pa.bool_())]))
+    schema = "host string, h long, rows array<struct<place: long, item: long, outer: boolean>>"
+    pages = hosted.where("html IS NOT NULL").select("host", "html").mapInArrow(read, schema).dropDuplicates(["host", "h"])
+    counts = pages.select("host", F.inline("rows")).groupBy("host", "place", "item", "outer").agg(F.count("*").alias("n"))
+    counts = scratch(hosted.sparkSession).save(counts, "counts")
+    text = F.col("item") != F.col("place")
+    places = counts.groupBy("host", "place", "outer").agg(
+        F.max(F.when(~text, F.col("n"))).alias("met"),
+        F.sum(F.when(text, F.col("n"))).alias("all_of"),
+        F.coalesce(F.sum(F.when(text & (F.col("n") >= MATCHES), F.col("n"))), F.lit(0)).alias("repeated"),
+    )
+    places = places.where(F.col("met") >= MATCHES)
+    constant = (F.col("n") >= CONSTANT * F.col("met")) | (F.col("outer") & (F.col("repeated") >= CONSTANT * F.col("all_of")))
+    template = counts.where(text & (F.col("n") >= MATCHES)).join(places, ["host", "place", "outer"]).where(constant)
+    slots = places.where(F.col("outer") & (F.col("repeated") <= (1 - CONSTANT) * F.col("all_of")))
+    found = template.select("host", "item", F.lit(None).cast("long").alias("slot")).unionByName(
+        slots.select("host", F.lit(None).cast("long").alias("item"), F.col("place").alias("slot"))
+    )
+    return found.groupBy("host").agg(F.collect_set("item").alias("template"), F.collect_set("slot").alias("slots"))
+
+
 def extracted(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """A row per page: page_id, url, text, n_chars.
 
     A null or empty page has the text ''. Pages without a host share one
     wrapper. Repeated rows count as one page for learning.
     """
-    tables = scratch(spark)
     hosted = pages.select("page_id", "url", "html", host("url").alias("host"))
     few = hosted.where("html IS NOT NULL").select("host", F.xxhash64("html").alias("h")).distinct()
     order = Window.partitionBy("host").orderBy("h")
     salted = few.withColumn("salt", F.pmod(F.col("h"), F.lit(64)))
     by_salt = Window.partitionBy("host", "salt").orderBy("h")  # a hot host is cut down in parts first
     few = salted.withColumn("k", F.row_number().over(by_salt)).where(F.col("k") <= PAGES_PER_HOST).drop("k")
-    few = tables.save(few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PAGES_PER_HOST), "few")
-    chosen = hosted.withColumn("h", F.xxhash64("html"))
-    chosen = chosen.join(counted_broadcast(few.select("host", "h")), ["host", "h"], "left_semi")
-    chosen = chosen.dropDuplicates(["host", "h"]).select("host", "h", "html")
-
-    def learn(key: tuple, table: pa.Table) -> pa.Table:
-        ordered = table.sort_by("h").column("html").to_pylist()
-        return pa.table({"host": [key[0].as_py()], "template": pa.array([wrapper(ordered)], pa.list_(pa.string()))})
-
-    wrappers = tables.save(chosen.groupBy("host").applyInArrow(learn, "host string, template array<string>"), "wrappers")
+    few = scratch(spark).save(few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PAGES_PER_HOST), "few")
+    few = hosted.withColumn("h", F.xxhash64("html")).join(counted_broadcast(few.select("host", "h")), ["host", "h"], "left_semi")
+    useful = scratch(spark).save(wrappers(few), "wrappers")
+    keys = useful.agg(F.sum(F.size("template") + F.size("slots"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                main_text(p.as_py(), frozenset(t.as_py() or ()))
-                for p, t in zip(batch.column("html"), batch.column("template"), strict=True)
-            ]
+            sets: dict[str, tuple[frozenset[int], frozenset[int]]] = {}
+            texts = []
+            for k, name in enumerate(batch.column("host").to_pylist()):
+                if name not in sets:
+                    sets[name] = tuple(frozenset(batch.column(c)[k].as_py() or ()) for c in ("template", "slots"))
+                texts.append(chosen(batch.column("html")[k].as_py(), *sets[name]))
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]
             )
 
-    useful = counted_broadcast(wrappers.where(F.size("template") > 0), BROADCAST_HOSTS)
-    joined = hosted.join(useful, "host", "left").select("page_id", "url", "html", "template")
+    if keys <= BROADCAST_KEYS:
+        useful = counted_broadcast(useful, BROADCAST_HOSTS)
+    joined = hosted.join(useful, "host", "left").select("page_id", "url", "html", "host", "template", "slots")
     kind = dict(pages.dtypes)
     return joined.mapInArrow(run, f"page_id {kind['page_id']}, url string, text string, n_chars long")

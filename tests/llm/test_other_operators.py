@@ -68,6 +68,28 @@ def test_pages(spark):
     assert html_text.extracted(spark, pages.where("false")).count() == 0
 
 
+ARTICLE = (
+    "<body><div class=top>Welcome</div><main><p>lead {0}</p><div class=x>Mail us</div><ul><li><a href=x>more {0}</a></li></ul>"
+    "<article><p>text {0}</p><p>Yes.</p><p>Read with care.</p></article></main></body>"
+)
+
+
+def test_wrapper_decides_inside_and_outside_of_articles(spark):
+    rows = [(i, "https://a.example/x", ARTICLE.format(i).replace("Yes.", "Yes." if i < 2 else f"No {i}.")) for i in range(12)]
+    got = html_text.extracted(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {
+        i: f"lead {i}\ntext {i}\n" + ("Yes." if i < 2 else f"No {i}.") for i in range(12)
+    }
+    assert html_text.main_text(rows[0][2]) == "text 0\nYes.\nRead with care."  # without a wrapper
+
+
+def test_marked_part_of_near_copies_stays(spark):
+    page = "<body><p>menu</p><article><p>the same</p></article><p class=y>{}</p></body>"
+    rows = [(i, "https://a.example/x", page.format("odd" if i % 2 else "even") + "<!-- odd -->") for i in range(9)]
+    got = html_text.extracted(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {"the same"}
+
+
 # --- toxicity
 
 
