@@ -1,6 +1,6 @@
 """Main text of web pages by wrapper induction.
 
-A page becomes a tree of elements. The trees of a host's pages, 8 at most, and of each
+A page becomes a tree of elements. The trees of all pages of a host, and of each
 kind of its pages, are laid over each other from the root down, elements of equal
 tag and classes on each other (a style tree). The place of a block is its path in
 that tree. For each place it is counted on how many pages it is met, and on how
@@ -34,13 +34,11 @@ from hashlib import blake2b
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retalake.llm.common import counted_broadcast, scratch
 
-#: Pages of a host that its wrapper is learned from.
-PAGES_PER_HOST = 8
 #: A text is constant if it stands at its place on so many of the pages with the place, and on so many pages at least.
 CONSTANT = 0.8
 MATCHES = 3
@@ -330,7 +328,7 @@ def host(url: str) -> object:
 
 
 def wrappers(hosted: DataFrame) -> DataFrame:
-    """A row per host that has a wrapper: host, template, slots, learned from the pages given."""
+    """A row per host that has a wrapper: host, template, slots, learned from all of its pages."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -369,14 +367,7 @@ def extracted(spark: SparkSession, pages: DataFrame) -> DataFrame:
     wrapper. Repeated rows count as one page for learning.
     """
     hosted = pages.select("page_id", "url", "html", host("url").alias("host"))
-    few = hosted.where("html IS NOT NULL").select("host", F.xxhash64("html").alias("h")).distinct()
-    order = Window.partitionBy("host").orderBy("h")
-    salted = few.withColumn("salt", F.pmod(F.col("h"), F.lit(64)))
-    by_salt = Window.partitionBy("host", "salt").orderBy("h")  # a hot host is cut down in parts first
-    few = salted.withColumn("k", F.row_number().over(by_salt)).where(F.col("k") <= PAGES_PER_HOST).drop("k")
-    few = scratch(spark).save(few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PAGES_PER_HOST), "few")
-    few = hosted.withColumn("h", F.xxhash64("html")).join(counted_broadcast(few.select("host", "h")), ["host", "h"], "left_semi")
-    useful = scratch(spark).save(wrappers(few), "wrappers")
+    useful = scratch(spark).save(wrappers(hosted), "wrappers")
     keys = useful.agg(F.sum(F.size("template") + F.size("slots"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

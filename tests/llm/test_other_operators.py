@@ -90,6 +90,21 @@ def test_marked_part_of_near_copies_stays(spark):
     assert {r.text for r in got} == {"the same"}
 
 
+def test_wrapper_is_learned_from_all_pages_and_elements(spark):
+    often = "<body><section class=a><p>{0}</p></section><p class=end>All rights of A</p></body>"
+    seldom = "<body><section class=b>" + "<p>{0} b{1}</p>" * 2 + "</section><p class=end>All rights of B</p></body>"
+    long = "<body><section class=c>" + "".join(f"<p>{{0}} c{k}</p>" for k in range(700)) + "</section><div class=z>Last words</div></body>"
+    rows = [(i, often.format(f"a{i}")) for i in range(300)]
+    rows += [(1000 + i, seldom.format(f"s{i}", i)) for i in range(4)] + [(2000 + i, long.format(f"l{i}")) for i in range(4)]
+    pages = spark.createDataFrame([(i, "https://a.example/x", h) for i, h in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extracted(spark, pages).collect()}
+    template, slots = map(frozenset, html_text.induced([h for _, h in rows]))
+    assert got == {i: html_text.main_text(h, template, slots) for i, h in rows}
+    assert all(got[i] == f"a{i}" for i in range(300))
+    assert got[1001] == "s1 b1\ns1 b1"
+    assert got[2002].endswith("l2 c699")
+
+
 # --- toxicity
 
 
