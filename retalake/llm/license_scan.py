@@ -1,16 +1,24 @@
 """Licence texts and notices in documents, by Dice coefficient over word bigrams.
 
-A document is compared as a whole, by paragraphs (between blank lines) and by
-lines. Two sets of a and b bigrams reach a Dice coefficient of d only if
-d / (2 - d) <= a / b <= (2 - d) / d, which leaves few templates for each piece
-of text, and none for most pieces.
+Every window of consecutive lines of a document is compared, and in the stretches
+where no such window is a licence, every window of words. Of two sets of a and b
+bigrams, d = 2c / (a + b) for c common ones, so a coefficient of d needs
+c >= b d / (2 - d) and a <= b (2 - d) / d. A template of which a document does not
+hold that many bigrams is out at once, which leaves none for most documents, and
+a window is followed only until it has too many. A best window begins with a
+bigram of the template that does not come again in it, so the windows that are
+followed from one template's bigram do not overlap, and the work is bounded by
+the words times the template's size.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,6 +102,13 @@ def bigrams(found: list[str]) -> frozenset[tuple[str, str]]:
     return frozenset(zip(found, found[1:], strict=False))
 
 
+class Hit(NamedTuple):
+    dice: float
+    template: int  # place in order of size
+    begin: int  # first and last word
+    end: int
+
+
 class Scanner:
     def __init__(self, templates: dict[str, tuple[str, ...]], least: float) -> None:
         self.least = least
@@ -101,52 +116,103 @@ class Scanner:
             ((len(b), name, b) for name, texts in templates.items() for b in map(bigrams, map(words, texts)) if b),
             key=lambda x: x[:2],
         )
-        self.ratio = (2 - least) / least
-        self.vocabulary = frozenset().union(*(b for _, _, b in self.templates)) if self.templates else frozenset()
-        self.most = self.templates[-1][0] * self.ratio if self.templates else 0
-
-    def pieces(self, text: str) -> Iterator[list[str]]:
-        lines = [words(x) for x in text.split("\n")]
-        yield from lines
-        paragraph: list[str] = []
-        n = 0
-        for raw, found in zip(text.split("\n"), lines, strict=True):
-            if raw.strip():
-                paragraph += found
-                n += 1
-            else:
-                if n > 1:
-                    yield paragraph
-                paragraph, n = [], 0
-        if n > 1:
-            yield paragraph
-        if len(lines) > 1:
-            yield [w for x in lines for w in x]
-
-    def scan(self, text: str | None) -> tuple[str, float, int]:
-        """(name, coefficient, number of pieces): the best licence of the text, '' and 0 if none reaches the limit."""
-        best, count = ("", 0.0), 0
-        for found in self.pieces(text or ""):
-            if len(found) < 2:
+        self.place = {pair: k for k, pair in enumerate(frozenset().union(*(b for _, _, b in self.templates)))}
+        self.member = np.zeros((len(self.place), len(self.templates)), bool)
+        for t, (_, _, b) in enumerate(self.templates):
+            self.member[[self.place[pair] for pair in b], t] = True
+        sizes = np.array([n for n, _, _ in self.templates], np.float64)
+        self.need = sizes * least / (2 - least) - 1e-6
+        self.most = sizes * (2 - least) / least + 1e-6
+
+    def windows(self, t: int, doc: Document, starts: np.ndarray, ends: np.ndarray, stop: int) -> Iterator[Hit]:
+        """For each start that has one, the best window up to ``stop`` that ends with one of ``ends`` and reaches the limit.
+
+        starts and ends are words. A start stands for the words up to the next start, of which one at least has to begin
+        a bigram of the template.
+        """
+        inside = self.member[doc.known, t] & (doc.known >= 0)
+        at = np.flatnonzero(inside)
+        ahead = np.cumsum((inside & (doc.following >= len(inside)))[::-1])[::-1]  # distinct ones from here on
+        for k, a in enumerate(starts):
+            low, high = np.searchsorted(at, [a, starts[k + 1] if k + 1 < len(starts) else stop])
+            if low == high or ahead[a] < self.need[t]:
                 continue
-            own = bigrams(found)
-            common = own & self.vocabulary
-            size = len(own)
-            if size > self.most or 2 * len(common) < self.least * size:  # a template's share is no larger
-                continue
-            hit = ("", 0.0)
-            for n, name, b in self.templates:
-                if n * self.ratio < size:
-                    continue
-                if n > size * self.ratio:
+            limit = min(stop, int(doc.following[at[low:high]].max()))
+            length = int(2 * self.most[t]) + 16
+            while True:
+                fresh = doc.previous[a : min(a + length, limit)] < a
+                size = np.cumsum(fresh)
+                if a + length >= limit or size[-1] > self.most[t]:
                     break
-                dice = 2 * len(common & b) / (size + n)
-                if dice >= self.least and dice > hit[1]:
-                    hit = (name, dice)
-            if hit[0]:
-                count += 1
-                best = max(best, hit, key=lambda x: x[1])
-        return (*best, count)
+                length *= 2
+            common = np.cumsum(fresh & inside[a : a + len(fresh)])
+            low, high = np.searchsorted(ends, [a + 1, a + len(fresh) + 1])
+            last = ends[low:high]
+            if not len(last):
+                continue
+            dice = 2 * common[last - 1 - a] / (size[last - 1 - a] + self.templates[t][0])
+            best = int(dice.argmax())
+            if dice[best] >= self.least:
+                yield Hit(float(dice[best]), t, int(a), int(last[best]))
+
+    def scan(self, text: str | None) -> tuple[str, float, int]:
+        """(name, coefficient, number of windows): the best licence of the text, '' and 0 if none reaches the limit."""
+        lines = [words(x) for x in (text or "").split("\n")]
+        found = [w for line in lines for w in line]
+        pairs = list(zip(found, found[1:], strict=False))
+        known = np.array([self.place.get(p, -1) for p in pairs], np.int64)
+        used = np.unique(known[known >= 0])
+        held = self.member[used].sum(axis=0)
+        possible = np.flatnonzero((held >= self.need) & (held > 0))
+        if not len(possible):
+            return "", 0.0, 0
+        doc = Document(known, *neighbours(pairs))
+        after = np.cumsum([len(x) for x in lines])  # first word behind each line
+        filled = np.array([len(x) > 0 for x in lines])
+        ends, starts = after[filled] - 1, (after - [len(x) for x in lines])[filled]
+        hits = disjoint(h for t in possible for h in self.windows(t, doc, starts, ends, len(pairs)))
+        rest: list[Hit] = []
+        cuts = sorted((h.begin, h.end) for h in hits)
+        for low, high in zip([0, *(e + 1 for _, e in cuts)], [*(b - 1 for b, _ in cuts), len(found) - 1], strict=True):
+            for t in possible if low < high else ():  # the words low to high
+                at = low + np.flatnonzero(self.member[known[low:high], t] & (known[low:high] >= 0))
+                if len(np.unique(known[at])) >= self.need[t]:
+                    rest += self.windows(t, doc, at, at + 1, high)
+        hits += disjoint(rest)
+        if not hits:
+            return "", 0.0, 0
+        best = max(hits, key=lambda h: (h.dice, h.template))
+        return self.templates[best.template][1], best.dice, len(hits)
+
+
+class Document(NamedTuple):
+    known: np.ndarray  # number of each bigram among those of the templates, or -1
+    previous: np.ndarray  # place of the same bigram before, or -1
+    following: np.ndarray  # and after, or the number of bigrams
+
+
+def neighbours(pairs: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray]:
+    previous, following = np.full(len(pairs), -1, np.int64), np.full(len(pairs), len(pairs), np.int64)
+    last: dict[tuple[str, str], int] = {}
+    for k, pair in enumerate(pairs):
+        if pair in last:
+            previous[k] = last[pair]
+            following[last[pair]] = k
+        last[pair] = k
+    return previous, following
+
+
+def disjoint(hits: Iterable[Hit]) -> list[Hit]:
+    """Hits of which no two share a word, the best first, of equals the larger template."""
+    taken: list[tuple[int, int]] = []
+    out = []
+    for h in sorted(hits, key=lambda h: (-h.dice, -h.template, h.begin)):
+        k = bisect.bisect(taken, (h.begin, h.end))
+        if (k and taken[k - 1][1] >= h.begin) or (k < len(taken) and taken[k][0] <= h.end):
+            continue
+        taken.insert(k, (h.begin, h.end))
+        out.append(h)
+    return out
 
 
 def scanned(
@@ -155,8 +221,9 @@ def scanned(
     """A row per document: doc_id, license, dice, n_pieces.
 
     ``license`` names the template with the highest coefficient of at least
-    ``least`` over all pieces (the first by size and name of equals), and is ''
-    with dice 0 where no piece reaches it; n_pieces counts the pieces that do.
+    ``least`` over all windows (the last by size and name of equals), and is ''
+    with dice 0 where no window reaches it; n_pieces counts the windows that do,
+    the best first and none that shares a word with a better one.
     Null, empty and one-word texts have none. Nothing is shuffled.
     """
     used = TEMPLATES if templates is None else templates

@@ -177,6 +177,45 @@ def test_licenses_equal_brute_force(spark, texts):
     assert license_scan.scanned(texts(*ODD).where("false")).count() == 0
 
 
+@pytest.mark.parametrize("name", ["MIT", "Apache-2.0"])
+def test_licenses_of_several_paragraphs_and_within_lines(spark, texts, name):
+    notice, full = license_scan.TEMPLATES[name][:2]
+    parts = re.sub(r"(: |\. )(The above|THE SOFT|You may|Unless)|(2.0) (Unless)", r"\1\3\n\n\2\4", full)
+    assert parts.count("\n\n") >= 2
+    wrapped = "\n".join(re.sub(r"(.{40,70}) ", r"\1\n * ", x) for x in parts.split("\n"))
+    code = "\n".join(f"int f{k}(int x) {{ return x + {k}; }}" for k in range(60))
+    line = f"It is a small tool for people that we like to use every day, {notice[:-1]}, and it has no parts that move."
+    rows = [(1, parts), (2, f"{parts}\n\n{code}"), (3, f"/*\n * {wrapped}\n */\n{code}"), (4, line), (5, code)]
+    rows += [(6, f"{line}\n{code}\n{parts}\n{code}"), (7, "\n".join([notice] * 500))]
+    got = {r.doc_id: r for r in license_scan.scanned(texts(*rows)).collect()}
+    assert {i for i, r in got.items() if r.license == name} == {1, 2, 3, 4, 6, 7}
+    assert all(got[i].dice > 0.95 for i in (1, 2, 3, 4, 6, 7))
+    assert [got[i].n_pieces for i in range(1, 8)] == [1, 1, 1, 1, 0, 2, 500]
+
+
+def test_license_windows_equal_brute_force():
+    rng = random.Random(5)
+    templates = {"x": ("a b c d e f g a c",), "y": ("b c d e h", "d d e")}
+    for _ in range(300):
+        lines = [[rng.choice("abcdefgh") for _ in range(rng.randrange(5))] for _ in range(rng.randrange(1, 12))]
+        if rng.random() < 0.6:
+            lines[rng.randrange(len(lines)) :] = [list("abcd"), [], list("efgac")]
+        windows = [sum(lines[i:j], []) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)]
+        if not any(dice_of(w, templates) >= 0.8 for w in windows):
+            flat = sum(lines, [])
+            windows = [flat[i:j] for i in range(len(flat)) for j in range(i + 1, len(flat) + 1)]
+        best = max((dice_of(w, templates) for w in windows), default=0.0)
+        got = license_scan.Scanner(templates, 0.8).scan("\n".join(map(" ".join, lines)))
+        rest = got[2] > 1  # windows of words beside a window of lines may be better
+        assert got[1] >= best - 1e-9 if rest else math.isclose(got[1], best if best >= 0.8 else 0.0)
+
+
+def dice_of(found, templates):
+    a = license_scan.bigrams(found)
+    grams = [license_scan.bigrams(license_scan.words(t)) for texts in templates.values() for t in texts]
+    return max(2 * len(a & b) / (len(a) + len(b)) for b in grams)
+
+
 # --- graded quality
 
 
