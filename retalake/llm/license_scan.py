@@ -16,6 +16,7 @@ from __future__ import annotations
 import bisect
 import re
 from collections.abc import Iterable, Iterator
+from importlib import resources
 from typing import NamedTuple
 
 import numpy as np
@@ -26,7 +27,74 @@ from pyspark.sql import functions as F
 LEAST = 0.8
 WORD = re.compile(r"[a-z0-9]+(?:[.'-][a-z0-9]+)*")
 
-#: Licence templates: fixed texts of public licences, and the usual one-line notices.
+BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this "
+    "list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above "
+    "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. "
+)
+BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+ISC_DISCLAIMER = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+    "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+    "THIS SOFTWARE."
+)
+
+
+def full_text(name: str) -> str:
+    return resources.files("retalake.llm").joinpath("licenses", f"{name}.txt").read_text("utf-8")
+
+
+def gnu_header(name: str, version: str, thing: str = "program") -> str:
+    """The notice at the head of a file under one of the GNU licences, with the address on the web."""
+    return (
+        f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the {name} as published by "
+        f"the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This "
+        f"{thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+        f"of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details. You should have received a "
+        f"copy of the {name} along with this {thing}. If not, see <https://www.gnu.org/licenses/>."
+    )
+
+
+def gnu_header_by_post(name: str, version: str, thing: str = "program") -> str:
+    """The same with the address by post, as with the older versions."""
+    head = gnu_header(name, version, thing).rsplit(" If not,", 1)[0].removesuffix(".")
+    return head + (
+        "; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."
+    )
+
+
+def gnu_notice(name: str, version: str) -> str:
+    return f"This work is licensed under the {name}, version {version}."
+
+
+def creative_commons(short: str, long: str) -> tuple[str, str]:
+    return (
+        f"Licensed under CC {short} 4.0.",
+        f"This work is licensed under a Creative Commons {long} 4.0 International License.",
+    )
+
+
+GPL, LGPL, LESSER, AGPL = (
+    f"GNU {kind} Public License" for kind in ("General", "Library General", "Lesser General", "Affero General")
+)
+
+#: Licence templates: fixed texts of public licences, the notices at the head of files, and the usual one-line notices.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
         "Released under the MIT License.",
@@ -48,6 +116,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
         "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
         "specific language governing permissions and limitations under the License.",
+        full_text("Apache-2.0"),
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -57,6 +126,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
         "License for more details. You should have received a copy of the GNU General Public License along with this "
         "program. If not, see <https://www.gnu.org/licenses/>.",
+        full_text("GPL-3.0"),
     ),
     "CC-BY-NC-4.0": (
         "Licensed under CC BY-NC 4.0.",
@@ -69,22 +139,45 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "ISC": (
         "Released under the ISC License.",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
-        "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
-        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
-        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
-        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
-        "USE OR PERFORMANCE OF THIS SOFTWARE.",
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. " + ISC_DISCLAIMER,
+    ),
+    "BSD-3-Clause": (BSD_CONDITIONS + BSD_NAMES, BSD_CONDITIONS + BSD_NAMES + BSD_DISCLAIMER),
+    "BSD-2-Clause": (BSD_CONDITIONS + BSD_DISCLAIMER,),
+    "0BSD": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted. " + ISC_DISCLAIMER,
+    ),
+    "GPL-1.0": (gnu_header_by_post(GPL, "1"), full_text("GPL-1.0")),
+    "GPL-2.0": (gnu_notice(GPL, "2"), gnu_header(GPL, "2"), gnu_header_by_post(GPL, "2"), full_text("GPL-2.0")),
+    "LGPL-2.0": (gnu_header_by_post(LGPL, "2", "library"), full_text("LGPL-2.0")),
+    "LGPL-2.1": (
+        gnu_notice(LESSER, "2.1"),
+        *[f(LESSER, "2.1", thing) for f in (gnu_header, gnu_header_by_post) for thing in ("program", "library")],
+        full_text("LGPL-2.1"),
+    ),
+    "LGPL-3.0": (
+        gnu_notice(LESSER, "3"), gnu_header(LESSER, "3"), gnu_header(LESSER, "3", "library"), full_text("LGPL-3.0"),
+    ),
+    "AGPL-3.0": (gnu_notice(AGPL, "3"), gnu_header(AGPL, "3"), full_text("AGPL-3.0")),
+    "MPL-1.1": (full_text("MPL-1.1"),),
+    "MPL-2.0": (
+        "Licensed under the Mozilla Public License, Version 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        full_text("MPL-2.0"),
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/",
     ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this "
-        "list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above "
-        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
-        "materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its "
-        "contributors may be used to endorse or promote products derived from this software without specific prior "
-        "written permission.",
+    "CC0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        full_text("CC0-1.0"),
     ),
+    "CC-BY-SA-4.0": creative_commons("BY-SA", "Attribution-ShareAlike"),
+    "CC-BY-ND-4.0": creative_commons("BY-ND", "Attribution-NoDerivatives"),
+    "CC-BY-NC-SA-4.0": creative_commons("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    "CC-BY-NC-ND-4.0": creative_commons("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
     "Unlicense": (
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
         "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "

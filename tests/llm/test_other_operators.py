@@ -210,6 +210,21 @@ def test_license_windows_equal_brute_force():
         assert got[1] >= best - 1e-9 if rest else math.isclose(got[1], best if best >= 0.8 else 0.0)
 
 
+def test_full_licenses_are_known_by_their_own_name(spark, texts):
+    full = {n: license_scan.full_text(n) for n in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "CC0-1.0")}
+    names = license_scan.BSD_NAMES.replace("the copyright holder", "Example Works Ltd")
+    for name, third in (("BSD-3-Clause", names), ("BSD-2-Clause", "")):
+        conditions = license_scan.BSD_CONDITIONS.replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. ")
+        full[name] = f"Copyright (c) 2020, Somebody\n\n{conditions}\n{third}\n\n{license_scan.BSD_DISCLAIMER}\n"
+    for name, said in (("GPL-2.0", "GNU General Public License, version 2"), ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
+                       ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"), ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License")):
+        full[f"{name} notice"] = f"This work is licensed under the {said}."
+    code = "\n".join(f"int f{k}(int x) {{ return x + {k}; }}" for k in range(60))
+    rows = [(k, text if alone else f"{code}\n{text}\n{code}") for k, text in enumerate(full.values()) for alone in (True, False)]
+    got = {(r.doc_id, r.license, r.n_pieces) for r in license_scan.scanned(texts(*rows)).collect()}
+    assert got == {(k, name.split()[0], 1) for k, name in enumerate(full)}
+
+
 def dice_of(found, templates):
     a = license_scan.bigrams(found)
     grams = [license_scan.bigrams(license_scan.words(t)) for texts in templates.values() for t in texts]
