@@ -16,8 +16,9 @@
    the threshold; every other pair is decided on full sets.
 7. Components by large-star and small-star; the smallest id names each.
 
-Texts never move. Sets and fine sketches are made, where texts are read, for
-the documents in a bitmap of fixed size that holds the ids in question.
+Sets and fine sketches are made for the documents that a semi join with the written
+ids in question leaves. Spark chooses that join by the size of the ids: texts stay
+where they are while it is small, and are shuffled beyond.
 """
 
 from __future__ import annotations
@@ -38,8 +39,6 @@ from retalake.session import Scratch
 ROWS = 4
 BANDS = 32  # at most 64: their number takes the low bits of a bucket
 FINE = 2048
-#: Bits of the bitmap of ids. Where more ids are in question, more sets than needed are made, and none is missed.
-BITMAP = 1 << 25
 #: Classes of one bucket that one task compares with each other.
 BLOCK = 1024
 #: Known word hashes that a worker keeps; only speed depends on it.
@@ -117,27 +116,20 @@ def least_agreeing(count: int, percent: int, width: int) -> int:
     return int(count * p - DEVIATIONS * (count * p * (1 - p)) ** 0.5)
 
 
-def chosen_texts(docs: DataFrame, nodes: DataFrame, make: Callable[[str | None], bytes], name: str) -> DataFrame:
-    """(node, name): ``make(text)`` of the documents whose id is among ``nodes`` (doc_id), and of a few others."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP))
-    word = F.floor(place / 32).cast("int").alias("word")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(32)).cast("int"))
-    words = nodes.groupBy(word).agg(F.bit_or(bit).alias("bits")).toPandas()  # at most BITMAP / 32 rows
-    bitmap = np.zeros(BITMAP // 32, np.uint32)
-    bitmap[words["word"].to_numpy(int)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+def chosen_texts(docs: DataFrame, nodes: DataFrame, make: Callable[[str | None], bytes], tables: Scratch, name: str) -> DataFrame:
+    """The written (node, made): ``make(text)`` of the documents whose id is among ``nodes`` (doc_id).
+
+    The ids are written first, so Spark knows their size: texts stay where they are while the ids are small.
+    """
+    ids = tables.save(nodes.select("doc_id").distinct(), f"{name}-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            some = pa.array((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
-            few = batch.filter(some)
-            made = [make(t.as_py()) for t in few.column(1)]
-            yield pa.RecordBatch.from_arrays([few.column(0), pa.array(made, pa.binary())], ["node", name])
+            made = [make(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["node", "made"])
 
-    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", place.alias("place"))
-    return texts.mapInArrow(run, f"node long, {name} binary")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    return tables.save(texts.mapInArrow(run, "node long, made binary"), name)
 
 
 def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
@@ -158,10 +150,9 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
 def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int, tables: Scratch, name: str) -> DataFrame:
     """The written (a, b) of ``pairs`` that are near on their full sets."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    sets = chosen_texts(docs, nodes, lambda t: shingle_set(t, size).astype("<u8").tobytes(), "shingles")
-    sets = tables.save(sets, f"{name}-sets")
-    left = sets.withColumnsRenamed({"node": "a", "shingles": "sa"})
-    right = sets.withColumnsRenamed({"node": "b", "shingles": "sb"})
+    sets = chosen_texts(docs, nodes, lambda t: shingle_set(t, size).astype("<u8").tobytes(), tables, f"{name}-sets")
+    left = sets.withColumnsRenamed({"node": "a", "made": "sa"})
+    right = sets.withColumnsRenamed({"node": "b", "made": "sb"})
     return tables.save(confirmed(pairs.join(left, "a").join(right, "b"), percent).distinct(), f"{name}-links")
 
 
@@ -266,9 +257,10 @@ def near_duplicates(
         docs,
         placed.select(F.col("node").alias("doc_id")),
         lambda t: minima(shingle_set(t, size), a, b).astype("u1").tobytes(),
+        tables,
         "fine",
-    )
-    known = classes.select("node", "n", "sketch").join(tables.save(fine, "fine"), "node")
+    ).withColumnRenamed("made", "fine")
+    known = classes.select("node", "n", "sketch").join(fine, "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).join(known, "node")

@@ -137,6 +137,14 @@ def test_dense_group_in_blocks(spark, texts, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 3, 85)
 
 
+def test_texts_are_chosen_exactly_and_without_the_driver(spark, texts, monkeypatch):
+    docs = texts(*[(i, f"text {i}") for i in range(300)], (7, "again"), (None, "none"))
+    nodes = spark.createDataFrame([(i,) for i in (7, 7, 250, 999, None)], "doc_id long")
+    monkeypatch.setattr(type(docs), "toPandas", None)
+    got = near_dedup.chosen_texts(docs, nodes, lambda t: t.encode(), near_dedup.scratch(spark), "some").collect()
+    assert sorted((r[0], bytes(r[1])) for r in got) == [(7, b"again"), (7, b"text 7"), (250, b"text 250")]
+
+
 def test_one_of_each(spark, texts):
     long = " ".join(f"w{i}" for i in range(100))
     docs = texts((3, long), (1, long + " more"), (7, "else " + " ".join(map(str, range(50)))), (None, long), (8, None), (9, None))
