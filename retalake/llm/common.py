@@ -68,3 +68,20 @@ def join_rows(left: DataFrame, right: DataFrame, keys: list[str], how: str = "le
     for k, own in names.items():
         same = same & F.col(k).eqNullSafe(F.col(own))
     return left.join(right.withColumnsRenamed(names), same, how).drop(*names.values())
+
+
+#: A key that holds more than one in so many rows is hot, so there are at most so many hot keys.
+HOT_SHARE = 1000
+
+
+def grouped_rows(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, how: str = "inner") -> DataFrame:
+    """Rows joined with the written ``groups``, which has one row per ``key`` and the rows of that key in ``size``.
+
+    Keys with more than a thousandth of all ``total`` rows are fewer than ``HOT_SHARE`` by arithmetic and are
+    broadcast, so a group of a third of all rows stays where its rows are. The rest is left to a shuffled join.
+    ``how`` is inner or left.
+    """
+    is_hot = F.col(size) * HOT_SHARE > total
+    hot = F.broadcast(groups.where(is_hot))
+    rest = rows.join(F.broadcast(groups.where(is_hot).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(groups.where(~is_hot), key, how))

@@ -59,3 +59,58 @@ FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
 ORACLES["op3_near_dedup"] = OP3
+
+WORDS_11 = "list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+#: Every document walks through every order; nothing here knows of coalitions.
+OP11 = f"""
+WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+flags AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM (SELECT doc_id, part, t, {WORDS_11} AS w FROM texts)
+),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY 1),
+kinds AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM flags LEFT JOIN marks USING (doc_id) GROUP BY 1, 2
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS f FROM orders, range(1, 6) r(step)),
+walked AS (
+  SELECT part, filter_order, fails, n, good, toxic,
+    coalesce(list_min([strpos(filter_order, f) for f in string_split(fails, '') if f <> '']), 99) AS gone
+  FROM kinds, orders
+),
+counts AS (
+  SELECT part, filter_order, step, f,
+    sum(n) FILTER (WHERE gone > step) AS kept, sum(n) FILTER (WHERE gone = step) AS removed,
+    sum(n) FILTER (WHERE gone < step AND contains(fails, f)) AS redundant, sum(n) FILTER (WHERE fails = f) AS unique_fails,
+    sum(good) FILTER (WHERE gone = step) AS good_lost, sum(toxic) FILTER (WHERE gone = step) AS toxic_lost
+  FROM walked JOIN steps USING (filter_order) GROUP BY 1, 2, 3, 4
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+  CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+  CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counts
+"""
+
+OP12 = """
+WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY t)
+"""
+
+ORACLES["op11_filter_audit"] = OP11
+ORACLES["op12_exact_dedup"] = OP12

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from retalake.llm import (
     decontamination,
+    exact_dedup,
+    filter_audit,
     html_text,
     language_model,
     license_scan,
@@ -89,6 +91,14 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.document_audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicated_once(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_html_text": op2_html_text,
@@ -100,4 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_model": op10_language_model,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_exact_dedup": op12_exact_dedup,
 }

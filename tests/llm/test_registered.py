@@ -22,7 +22,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 def test_all_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= set(contract.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert set(oracle.ORACLES) <= set(contract.oracle_sql())
 
 
