@@ -112,5 +112,89 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM texts WINDOW same AS (PARTITION BY t)
 """
 
+
+
+def _edit(state: str, cost: str, letter: str, out: str, allowed: str = "true") -> str:
+    """A state with one edit more: [nine digits of cost and the letters, the result]; null where it cannot be."""
+    total = f"lpad(CAST(CAST({state}[1][1:9] AS INTEGER) + {cost} AS VARCHAR), 9, '0') || {state}[1][10:] || '{letter}'"
+    return f"CASE WHEN {allowed} AND {state} IS NOT NULL THEN [{total}, {state}[2] || {out}] END"
+
+
+def _insert(state: str, role: str) -> str:
+    return _edit(state, "2", "I", f"chr(10) || '{role}:'")
+
+
+def _stay(state: str, initial: str, role: str) -> str:
+    """Rerole or keep a row."""
+    rerole = _edit(state, "2 + late", "R", f"chr(10) || '{role}:' || text", "NOT gone")
+    return f"{rerole}, {_edit(state, 'late', 'K', KEPT, f"NOT gone AND initial = '{initial}'")}"
+
+
+KEPT = "chr(10) || role || ':' || text"
+#: Cost and letters as one string per state of the pattern, carried from row to row; the least string wins.
+OP13 = f"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place
+  FROM conversations
+),
+fates AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(place, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))
+  )) % 20 AS fate
+  FROM base
+),
+rows AS (
+  SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fates
+),
+placed AS (
+  SELECT *, substr(role, 1, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+  FROM rows
+),
+judged AS (
+  SELECT conv_id, turn, role, text, initial, i, blank, NOT blank AND seen AS duplicate, NOT blank AND NOT seen AND cut AS truncated,
+    blank OR seen AS gone, CASE WHEN cut THEN 1 ELSE 0 END AS late, i > 1 AND before || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM (
+    SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS cut,
+      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+      lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed
+  )
+),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+    count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+    count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE illegal) AS illegal
+  FROM judged GROUP BY 1
+),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, ['000000000', ''] AS s0, NULL::VARCHAR[] AS s1, NULL::VARCHAR[] AS s2, NULL::VARCHAR[] AS s3
+  FROM counts
+  UNION ALL
+  SELECT conv_id, i, {_edit("o0", "3", "D", "''")},
+    least({_edit("o1", "3", "D", "''")}, {_edit("o0", "late", "K", KEPT, "NOT gone AND initial = 's'")}),
+    least({_edit("o2", "3", "D", "''")}, {_stay("o0", "u", "user")}, {_stay("o1", "u", "user")}, {_stay("o3", "u", "user")}),
+    least({_edit("o3", "3", "D", "''")}, {_stay("o2", "a", "assistant")})
+  FROM (
+    SELECT j.*, s0 AS o0, s1 AS o1, least(s2, {_insert("s0", "user")}, {_insert("s1", "user")}, {_insert("s3", "user")}) AS o2,
+      least(s3, {_insert("s2", "assistant")}) AS o3
+    FROM walk w JOIN judged j ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = w.i + 1
+  )
+),
+ends AS (
+  SELECT conv_id, least(s0, s3, {_insert("s2", "assistant")}) AS s
+  FROM walk w JOIN counts c USING (conv_id) WHERE i = n
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(s[1][1:9], '0') AS BIGINT) AS cost,
+  coalesce(s[1][10:], '') AS audit, sha256(coalesce(s[2][2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts USING (conv_id) LEFT JOIN ends USING (conv_id)
+"""
+
+ORACLES["op13_conversation_repair"] = OP13
 ORACLES["op11_filter_audit"] = OP11
 ORACLES["op12_exact_dedup"] = OP12

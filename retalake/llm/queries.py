@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retalake.llm import (
+    conversation_repair,
     decontamination,
     exact_dedup,
     filter_audit,
@@ -99,6 +100,10 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicated_once(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_and_repaired(spark, table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_html_text": op2_html_text,
@@ -112,4 +117,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_model": op10_language_model,
     "op11_filter_audit": op11_filter_audit,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
