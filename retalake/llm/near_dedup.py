@@ -41,8 +41,11 @@ BANDS = 32  # at most 64: their number takes the low bits of a bucket
 FINE = 2048
 #: Classes of one bucket that one task compares with each other.
 BLOCK = 1024
-#: Known word hashes that a worker keeps; only speed depends on it.
-CACHE = 500_000
+#: Known word hashes that a worker keeps, texts that it turns into sets before it hands on what it made of them, and
+#: products that it holds at a time; only speed and memory depend on them.
+CACHE = 65_536
+ROWS_AT_A_TIME = 500
+PRODUCTS = 1 << 18
 #: Standard deviations under the threshold at which a sketch may rule a pair out.
 DEVIATIONS = 6.0
 
@@ -83,17 +86,24 @@ def hash_functions(count: int) -> tuple[np.ndarray, np.ndarray]:
 def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     low = np.full(len(a), 0xFFFFFFFF, np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    for k in range(0, len(x), 4096):  # bounded memory for long texts
-        np.minimum(low, (x[None, k : k + 4096] * a + b).min(axis=1), out=low)
+    step = max(1, PRODUCTS // len(a))  # bounded memory for long texts
+    for k in range(0, len(x), step):
+        np.minimum(low, (x[None, k : k + step] * a + b).min(axis=1), out=low)
     return (low & np.uint32(0xFFFF)).astype("<u2")
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS_AT_A_TIME):
+            yield batch.slice(k, ROWS_AT_A_TIME)
+
+
 def sketches(docs: DataFrame, size: int, hashes: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = hash_functions(hashes)
-        for batch in batches:
+        for batch in sliced(batches):
             n, keys, rows = [], [], []
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), size)
@@ -124,7 +134,7 @@ def chosen_texts(docs: DataFrame, nodes: DataFrame, make: Callable[[str | None],
     ids = tables.save(nodes.select("doc_id").distinct(), f"{name}-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = [make(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["node", "made"])
 
@@ -136,7 +146,7 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs (a, b, sa, sb) with 100 * intersection >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             keep = []
             for sa, sb in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = (np.frombuffer(s.as_buffer(), "<u8") for s in (sa, sb))
