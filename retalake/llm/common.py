@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,25 @@ def counted_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def giving_back(
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``; when it ends, the memory that it has freed goes back to the system.
+
+    A Python worker outlives its task. Without this it keeps what the largest task took while later stages, and later
+    operators, run beside it.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim:
+            trim(0)
+
+    return task
+
+
 def fresh(name: str) -> str:
     """Column name that no column of the caller can clash with."""
     return f"__{name}_{uuid.uuid4().hex[:12]}"

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm.common import counted_broadcast, join_rows, scratch
+from retalake.llm.common import counted_broadcast, giving_back, join_rows, scratch
 from retalake.llm.components import connected_components
 from retalake.session import Scratch
 
@@ -96,6 +96,7 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(0, batch.num_rows, ROWS_AT_A_TIME):
             yield batch.slice(k, ROWS_AT_A_TIME)
+    _words.clear()
 
 
 def sketches(docs: DataFrame, size: int, hashes: int) -> DataFrame:
@@ -116,7 +117,7 @@ def sketches(docs: DataFrame, size: int, hashes: int) -> DataFrame:
             )
 
     schema = "doc_id long, n_shingles long, set_key binary, sketch binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(run), schema)
 
 
 def least_agreeing(count: int, percent: int, width: int) -> int:
@@ -139,7 +140,7 @@ def chosen_texts(docs: DataFrame, nodes: DataFrame, make: Callable[[str | None],
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["node", "made"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return tables.save(texts.mapInArrow(run, "node long, made binary"), name)
+    return tables.save(texts.mapInArrow(giving_back(run), "node long, made binary"), name)
 
 
 def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
@@ -154,7 +155,7 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(giving_back(run), "a long, b long")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int, tables: Scratch, name: str) -> DataFrame:
@@ -219,7 +220,7 @@ def bucket_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
         if held:
             yield batch_of(groups(held, last=True)[0])
 
-    return members.mapInArrow(run, "a long, b long")
+    return members.mapInArrow(giving_back(run), "a long, b long")
 
 
 def near_duplicates(

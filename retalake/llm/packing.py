@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from retalake.llm.common import giving_back
+
 SIZE = 2048
 END = 1
 #: Tokens of padding that a cut is worth: at a sentence end, and elsewhere.
@@ -39,7 +41,7 @@ OTHER_CUT = 12
 #: Longest stretch without a place to cut.
 STRETCH = 64
 #: Tokens that are cut into sequences at a time, and bytes of text that are encoded at a time.
-SEGMENT = 400_000
+SEGMENT = 200_000
 CHARS = 2_000_000
 #: Texts that the tokenizer gets at a time; its own records of a text are far larger than the ids.
 AT_A_TIME = 16
@@ -269,4 +271,4 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, with_ids: bool = Fal
         yield packer.flush(last=True)
 
     schema = ", ".join(f"{f} long" for f in FIELDS) + (", ids binary" if with_ids else "")
-    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").mapInArrow(run, schema)
+    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").mapInArrow(giving_back(run), schema)
