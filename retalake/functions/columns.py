@@ -42,6 +42,29 @@ def comma_decimal(text: Column, strict: bool = False) -> Column:
     return _convert(F.replace(text, F.lit(","), F.lit(".")), "float", strict)
 
 
+# Fixed value: money with at most two places after a comma or point; zeros may follow.
+EXACT_MONEY_SHAPE = r"^[+-]?[0-9]{1,16}([.,][0-9]{0,2}0*)?$"
+
+
+def exact_money(text: Column, strict: bool = False) -> Column:
+    """Decimal with two places, as the text says it.
+
+    Text that says something else than such a number (not finite, more places, an exponent, separators of thousands)
+    is NULL, or fails with ``strict``: nothing is rounded.
+    """
+    value = F.replace(text, F.lit(","), F.lit(".")).try_cast("decimal(18,2)")
+    checked = F.when(text.rlike(EXACT_MONEY_SHAPE), value)
+    if strict:
+        error = F.raise_error(F.concat(F.lit("not exact money: "), text)).cast("decimal(18,2)")
+        return F.when(text.isNull(), F.lit(None).cast("decimal(18,2)")).when(checked.isNull(), error).otherwise(checked)
+    return checked
+
+
+def exact_net(value: Column, discount: Column) -> Column:
+    """Exact value after the discount fraction, which is taken with six places; NULL where that is no number."""
+    return (value * (F.lit(1) - discount.try_cast("decimal(9,6)"))).cast("decimal(28,8)")
+
+
 def percent_fraction(text: Column, strict: bool = False) -> Column:
     """Fraction as double from text such as ``11%``."""
     number = F.replace(text, F.lit("%"), F.lit(""))

@@ -43,12 +43,23 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
 
 
 def reference_check(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Orphans of the fact per dimension key."""
-    parts = [
-        orphans(fact, d.id, dims[d.table], d.id).select(F.lit(d.id).alias("coluna"), "orfaos")
-        for d in DIMENSIONS
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Orphans of the fact per dimension key, in one scan of the fact.
+
+    The keys of a sale become rows, which every task counts per dimension and id before anything is shuffled; the
+    counts then meet the ids of all dimensions in one join.
+    """
+    names = [d.id for d in DIMENSIONS]
+    keys = fact.select([F.col(n).cast("long").alias(n) for n in names]).unpivot([], names, "coluna", "_key")
+    counted = keys.where("_key IS NOT NULL").groupBy("coluna", "_key").agg(F.count("*").alias("_rows"))
+    known = reduce(
+        DataFrame.unionByName,
+        (dims[d.table].select(F.lit(d.id).alias("_column"), F.col(d.id).cast("long").alias("_known")) for d in DIMENSIONS),
+    )
+    same = (F.col("coluna") == F.col("_column")) & (F.col("_key") == F.col("_known"))
+    missing = counted.join(known, same, "left_anti").groupBy("coluna").agg(F.sum("_rows").alias("_missing"))
+    every = fact.sparkSession.createDataFrame([(n,) for n in names], "coluna string")
+    orphaned = F.coalesce("_missing", F.lit(0)).cast("long").alias("orfaos")
+    return every.join(missing, "coluna", "left").select("coluna", orphaned)
 
 
 def _one_row_per_column(df: DataFrame, measure: str, columns: list[str]) -> DataFrame:
@@ -127,14 +138,14 @@ def star_report(spark: SparkSession, database: str) -> DataFrame:
     fact, staging = spark.table(f"{database}.{FACT_TABLE}"), spark.table(f"{database}.{STAGING_TABLE}")
     dims = {d.table: spark.table(f"{database}.{d.table}") for d in DIMENSIONS}
 
-    def named(df: DataFrame, name: str, value: str, expected: str | int) -> DataFrame:
-        wanted = F.lit(expected).cast("long") if isinstance(expected, int) else F.col(expected)
-        return df.select(F.lit(name).alias("verificacao"), F.col(value).alias("valor"), wanted.alias("esperado"))
+    def named(df: DataFrame, name: str, value: str, expected: str) -> DataFrame:
+        return df.select(F.lit(name).alias("verificacao"), F.col(value).alias("valor"), F.col(expected).alias("esperado"))
 
     rows = row_count(fact).crossJoin(row_count(staging).withColumnRenamed("registros", "staging"))  # one row each
     parts = [named(rows, "vendas", "registros", "staging")]
     parts.append(named(key_check(fact, "venda_id"), f"chave {FACT_TABLE}", "distintos", "registros"))
     for d in DIMENSIONS:
         parts.append(named(key_check(dims[d.table], d.id), f"chave {d.table}", "distintos", "registros"))
-        parts.append(named(orphans(fact, d.id, dims[d.table], d.id), f"referencia {d.id}", "orfaos", 0))
+    references = reference_check(fact, dims).withColumn("coluna", F.concat(F.lit("referencia "), "coluna"))
+    parts.append(references.select(F.col("coluna").alias("verificacao"), F.col("orfaos").alias("valor"), F.lit(0).cast("long").alias("esperado")))
     return reduce(DataFrame.unionByName, parts).withColumn("confere", F.col("valor") == F.col("esperado"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retalake.functions.columns import day_part, email_domain, full_name, net_value
+from retalake.functions.columns import day_part, email_domain, exact_net, full_name, net_value
 from retalake.functions.names import plain_columns
 from retalake.schemas import GOLD, YEAR
 
@@ -20,6 +20,7 @@ def to_gold(
         "dominio_email": email_domain(F.col("email")),
         "turno_compra": day_part(moment, null_as_night),
         "valor_com_desconto": net_value(F.col("valor_da_compra"), F.col("desconto_oferecido")),
+        "valor_liquido_exato": exact_net(F.col("valor_exato"), F.col("desconto_oferecido")),
         YEAR: F.year(moment),
     }
     return plain_columns(silver).withColumns(derived).select(*GOLD.names)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retalake.functions.columns import comma_decimal, percent_fraction, sale_timestamp
-from retalake.schemas import SILVER, SILVER_YEAR
+from retalake.functions.columns import comma_decimal, exact_money, percent_fraction, sale_timestamp
+from retalake.schemas import SILVER, SILVER_EXACT, SILVER_YEAR
 
 # What stands in for missing values.
 DEFAULTS = {
@@ -17,9 +17,10 @@ DEFAULTS = {
 
 
 def typed(bronze: DataFrame, strict: bool = False) -> DataFrame:
-    """Give the timestamp, value and discount columns their types."""
+    """Give the timestamp, value and discount columns their types, and add the exact value."""
     return bronze.withColumns(
         {
+            SILVER_EXACT: exact_money(F.col("Valor da Compra"), strict),
             "Timestamp do Registro": sale_timestamp(F.col("Timestamp do Registro"), strict),
             "Valor da Compra": comma_decimal(F.col("Valor da Compra"), strict),
             "Desconto Oferecido": percent_fraction(F.col("Desconto Oferecido"), strict),

@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from retalake.operators.keys import dense_id
-from retalake.schemas import DIMENSIONS, FACT, FACT_TABLE, STAGING_TABLE, Dimension
+from retalake.schemas import (
+    DIMENSIONS,
+    FACT,
+    FACT_TABLE,
+    KEYS,
+    LOAD,
+    STAGING_TABLE,
+    STAR_TABLE,
+    VERSION_COLUMN,
+    VERSIONS,
+    Dimension,
+)
 from retalake.session import Scratch, adaptive, together
-from retalake.sources.warehouse import create_star
+from retalake.sources.warehouse import create_table, last_load
 
 # Natural key columns that the literal lookups leave out.
 _LEGACY_UNMATCHED = {
@@ -86,27 +99,104 @@ def build_fact(
     return fact.select(F.monotonically_increasing_id().alias("venda_id"), "*")
 
 
-def rebuild_star(spark: SparkSession, database: str, legacy_keys: bool = False) -> None:
-    """Fill all dimensions and the fact anew from the staging table.
+def create_star(spark: SparkSession, database: str) -> None:
+    """Create the views of the star, and the tables with all its versions behind them, where they are not there.
 
-    The fact is emptied first, so a rebuild that fails half-way never leaves
-    one that points into newer dimensions; the next rebuild overwrites
-    whatever it left. The fact is planned over the written dimensions: their
-    keys are final and their sizes known.
+    A view shows the rows of the last version that is complete, which one row of the table of versions decides for
+    all of them at once. The table of a dimension's keys holds every natural key that ever had an id.
+    """
+    layout = f"PARTITIONED BY ({VERSION_COLUMN})"
+    versions = f"{database}.{STAR_TABLE}"
+    create_table(spark, versions, _versioned(StructType().add(LOAD, LongType())), layout)
+    tables = {d.table: d.schema for d in DIMENSIONS} | {FACT_TABLE: FACT}
+    for d in DIMENSIONS:
+        create_table(spark, f"{database}.{d.table}{KEYS}", _versioned(d.schema), layout)
+    for name, schema in tables.items():
+        create_table(spark, f"{database}.{name}{VERSIONS}", _versioned(schema), layout)
+        spark.sql(
+            f"""CREATE VIEW IF NOT EXISTS {database}.{name} AS
+            SELECT {", ".join(schema.names)} FROM {database}.{name}{VERSIONS}
+            WHERE {VERSION_COLUMN} = (SELECT max({VERSION_COLUMN}) FROM {versions})"""
+        )
+
+
+def _versioned(schema: StructType) -> StructType:
+    return StructType(list(schema.fields)).add(VERSION_COLUMN, LongType())
+
+
+def drop_star(spark: SparkSession, database: str) -> None:
+    """Drop the fact, then the dimensions it refers to, with all versions and ids."""
+    for name in [FACT_TABLE, *(d.table for d in DIMENSIONS)]:
+        spark.sql(f"DROP VIEW IF EXISTS {database}.{name}")
+        for ending in (VERSIONS, KEYS):
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}{ending}")
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{STAR_TABLE}")
+
+
+def last_version(spark: SparkSession, database: str) -> tuple[int, int]:
+    """Number of the last complete version of the star and of the load that it was built from; zeros before the first."""
+    if not spark.catalog.tableExists(f"{database}.{STAR_TABLE}"):
+        return 0, 0
+    last = F.max(F.struct(VERSION_COLUMN, LOAD)).alias("last")
+    return tuple(spark.table(f"{database}.{STAR_TABLE}").agg(last).first()["last"] or (0, 0))
+
+
+def numbered_keys(keys: DataFrame, known: DataFrame, dim: Dimension, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(new keys with their ids, all ``keys`` with theirs); a key that ``known`` has keeps its id.
+
+    New keys are numbered in key order from the largest id on.
+    """
+    theirs = {c: f"_{c}" for c in dim.key}
+    known = known.select(dim.id, *(F.col(c).alias(theirs[c]) for c in dim.key))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(t)) for c, t in theirs.items()))
+    first = known.agg(F.max(dim.id)).first()[0]
+    fresh = dense_id(keys.join(known, same, "left_anti"), dim.id, scratch, order=dim.key)
+    fresh = scratch.save(fresh.withColumn(dim.id, F.col(dim.id) + (0 if first is None else first + 1)), f"{dim.table}-new")
+    kept = keys.join(known, same).select(dim.id, *dim.key)
+    return fresh, kept.union(fresh.select(dim.id, *dim.key))
+
+
+def rebuild_star(spark: SparkSession, database: str, legacy_keys: bool = False) -> int:
+    """Build a new version of all dimensions and the fact from the staging table, and return its number.
+
+    Readers see the version before until the last statement, and go on seeing it when a rebuild fails; the next
+    attempt overwrites what that one has left. A natural key keeps its id from version to version, also when it is
+    absent for a while. The fact is planned over the written dimensions: their keys are final and their sizes known.
+    The version before stays for readers that have begun; older ones are removed. One rebuild at a time.
     """
     sales = spark.table(f"{database}.{STAGING_TABLE}")
     create_star(spark, database)
-    spark.sql(f"TRUNCATE TABLE {database}.{FACT_TABLE}")
+    load = last_load(spark, database)
+    before, _ = last_version(spark, database)
+    version = before + 1
+
+    def insert(rows: DataFrame, table: str) -> None:
+        names = [c for c in spark.table(f"{database}.{table}").columns if c != VERSION_COLUMN]
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {database}.{table} PARTITION ({VERSION_COLUMN} = {version}) SELECT {', '.join(names)} FROM {{rows}}",
+            rows=rows,
+        )
+
+    def written(table: str) -> DataFrame:
+        return spark.table(f"{database}.{table}{VERSIONS}").where(F.col(VERSION_COLUMN) == version).drop(VERSION_COLUMN)
+
     with Scratch(spark) as scratch, adaptive(spark):
+        scratch.path("")
 
         def fill(dim: Dimension) -> None:
-            rows = build_dim(sales, dim, scratch)
-            rows.write.insertInto(f"{database}.{dim.table}", overwrite=True)
+            known = spark.table(f"{database}.{dim.table}{KEYS}").where(F.col(VERSION_COLUMN) < version)
+            keys = scratch.save(sales.select(*dim.key).distinct(), f"{dim.table}-keys")
+            fresh, every = numbered_keys(keys, known, dim, scratch)
+            insert(fresh, f"{dim.table}{KEYS}")
+            insert(every, f"{dim.table}{VERSIONS}")
 
         together(spark, [partial(fill, dim) for dim in DIMENSIONS])
-        dims = {d.table: spark.table(f"{database}.{d.table}") for d in DIMENSIONS}
-        fact = build_fact(sales, dims, legacy_keys)
-        fact.write.insertInto(f"{database}.{FACT_TABLE}", overwrite=True)
+        dims = {d.table: written(d.table) for d in DIMENSIONS}
+        insert(build_fact(sales, dims, legacy_keys), f"{FACT_TABLE}{VERSIONS}")
+    insert(spark.range(1).select(F.lit(load).cast("long").alias(LOAD)), STAR_TABLE)
+    for name in [FACT_TABLE, *(d.table for d in DIMENSIONS)]:
+        spark.sql(f"ALTER TABLE {database}.{name}{VERSIONS} DROP IF EXISTS PARTITION ({VERSION_COLUMN} = {version - 2})")
+    return version
 
 
 def year_as_text(fact: DataFrame) -> DataFrame:

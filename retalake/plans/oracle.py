@@ -41,10 +41,19 @@ typed AS (
   SELECT * REPLACE (
     try_strptime("Timestamp do Registro", '%Y-%m-%d %H:%M:%S') AS "Timestamp do Registro",
     TRY_CAST(replace("Valor da Compra", ',', '.') AS FLOAT) AS "Valor da Compra",
-    CAST(TRY_CAST(replace("Desconto Oferecido", '%', '') AS FLOAT) AS DOUBLE) / 100 AS "Desconto Oferecido")
+    CAST(TRY_CAST(replace("Desconto Oferecido", '%', '') AS FLOAT) AS DOUBLE) / 100 AS "Desconto Oferecido"),
+    CASE WHEN regexp_matches("Valor da Compra", '^[+-]?[0-9]+([.,][0-9]{0,2}0*)?$')
+      THEN CAST(replace("Valor da Compra", ',', '.') AS DECIMAL(18,2)) END AS "Valor Exato",
+    CAST("Valor Exato" * (1 - coalesce(CAST(replace("Desconto Oferecido", '%', '') AS DECIMAL(5,2)), 0) * 0.01) AS DECIMAL(28,8))
+      AS liquido
   FROM raw
 )"""
 
+# Money is compared digit by digit, as text; it is computed from the texts of the landing files.
+_TYPED_TEXT = '* EXCLUDE (liquido) REPLACE (CAST("Valor Exato" AS VARCHAR) AS "Valor Exato")'
+_GOLD_TEXT = """* REPLACE (CAST(valor_exato AS VARCHAR) AS valor_exato,
+  CAST(valor_liquido_exato AS VARCHAR) AS valor_liquido_exato)"""
+
 _FILLED = """* REPLACE (
     coalesce("Desconto Oferecido", 0) AS "Desconto Oferecido",
     coalesce("Código de Desconto Usado", 'NÃO DISPONÍVEL') AS "Código de Desconto Usado",
@@ -85,6 +94,8 @@ gold AS (
          "Campanha de Marketing" AS campanha_de_marketing,
          "Vendedor" AS vendedor,
          "Código de Desconto Usado" AS codigo_de_desconto_usado,
+         "Valor Exato" AS valor_exato,
+         liquido AS valor_liquido_exato,
          "Arquivo de Origem" AS arquivo_de_origem,
          "Ano" AS ano
   FROM silver
@@ -123,14 +134,15 @@ def _fact(legacy_keys: bool) -> str:
     return f"""
   SELECT g.timestamp_do_registro, g.ano, cliente_id, produto_id, canal_id, plataforma_id, campanha_id,
          vendedor_id, desconto_id, CAST(g.valor_da_compra AS DOUBLE) AS valor_da_compra, g.turno_compra,
-         g.valor_com_desconto, g.arquivo_de_origem
+         g.valor_com_desconto, CAST(g.valor_exato AS VARCHAR) AS valor_exato,
+         CAST(g.valor_liquido_exato AS VARCHAR) AS valor_liquido_exato, g.arquivo_de_origem
   FROM gold AS g
   {" ".join(joins)}"""
 
 
 _BY_DAYPART_AND_YEAR = """
 SELECT ano, turno_compra, count(*) AS vendas,
-       CAST(round(sum(CAST(valor_com_desconto AS DECIMAL(28,8))), 2) AS DOUBLE) AS valor_liquido
+       CAST(round(sum(valor_liquido_exato), 2) AS DOUBLE) AS valor_liquido
 FROM gold GROUP BY ano, turno_compra"""
 
 _BY_SOURCE = """
@@ -163,18 +175,19 @@ def _oracles() -> dict[str, str]:
     stamp = "strftime(CAST(\"Timestamp do Registro\" AS TIMESTAMP), '%Y%m%d_%H%M%S')"
     fact_with = _TO_DIMS.rstrip() + ",\nfact AS (" + _fact(False) + ")\n"
     sql = {
-        "silver_typed": _TO_TYPED + "SELECT * FROM typed",
-        "silver_dedup": _TO_TYPED + "SELECT DISTINCT * FROM typed",
-        "silver_fill_nulls": _TO_TYPED + f"SELECT {_FILLED} FROM typed",
+        "silver_typed": _TO_TYPED + f"SELECT {_TYPED_TEXT} FROM typed",
+        "silver_dedup": _TO_TYPED + f"SELECT DISTINCT {_TYPED_TEXT} FROM typed",
+        "silver_fill_nulls": _TO_TYPED + f"SELECT {_TYPED_TEXT} FROM (SELECT {_FILLED} FROM typed)",
         "silver_year": _TO_TYPED
         + """SELECT CAST(year("Timestamp do Registro") AS INTEGER) AS ano, count(*) AS registros
 FROM typed GROUP BY 1""",
-        "silver_full": _TO_SILVER + "SELECT * FROM silver",
-        "gold_full": _TO_GOLD + "SELECT * FROM gold",
+        "silver_full": _TO_SILVER + f"SELECT {_TYPED_TEXT} FROM silver",
+        "gold_full": _TO_GOLD + f"SELECT {_GOLD_TEXT} FROM gold",
         "gold_full_name": _TO_GOLD + "SELECT nome, sobrenome, nome_completo FROM gold",
         "gold_email_domain": _TO_GOLD + "SELECT email, dominio_email FROM gold",
         "gold_net_value": _TO_GOLD
-        + "SELECT valor_da_compra, desconto_oferecido, valor_com_desconto FROM gold",
+        + f"""SELECT valor_da_compra, desconto_oferecido, valor_com_desconto, valor_exato, valor_liquido_exato
+FROM (SELECT {_GOLD_TEXT} FROM gold)""",
         "gold_daypart_events": f"""SELECT {_day_part("ts")} AS turno, CAST(hour(ts) AS INTEGER) AS hora,
 count(*) AS registros FROM events GROUP BY 1, 2""",
         "daypart_year_revenue": _TO_GOLD + _BY_DAYPART_AND_YEAR,
@@ -187,7 +200,7 @@ count(*) AS registros FROM events GROUP BY 1, 2""",
 CASE WHEN l_orderkey % 5 = 0 THEN replace(price, '.', ',') || ',y' ELSE price END) AS linha
 FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price FROM lineitem)
 WHERE l_orderkey % 5 < 2""",
-        "partition_roundtrip": _TO_GOLD + "SELECT * FROM gold WHERE ano = 1996",
+        "partition_roundtrip": _TO_GOLD + f"SELECT {_GOLD_TEXT} FROM gold WHERE ano = 1996",
         "warehouse_load": _TO_GOLD + _BY_SOURCE,
         "warehouse_append": _TO_GOLD
         + """SELECT arquivo_de_origem, 2 * count(arquivo_de_origem) AS registros
@@ -266,7 +279,7 @@ JOIN (SELECT arquivo_de_origem, count(*) AS n FROM gold GROUP BY 1) AS g USING (
 JOIN (SELECT arquivo_de_origem, count(*) AS n FROM fact GROUP BY 1) AS f USING (arquivo_de_origem)""",
     }
     first = ", ".join(f"{c} NULLS FIRST" for c in GOLD.names)
-    sql["sample_rows"] = _TO_GOLD + f"SELECT * FROM gold ORDER BY {first} LIMIT 5"
+    sql["sample_rows"] = _TO_GOLD + f"SELECT {_GOLD_TEXT} FROM (SELECT * FROM gold ORDER BY {first} LIMIT 5)"
     sql["sample_size"] = _TO_GOLD + "SELECT count(*) AS registros FROM (SELECT * FROM gold LIMIT 5)"
     for d in DIMENSIONS:
         sql[d.table] = _TO_DIMS + f"SELECT * FROM {d.table}"

@@ -8,13 +8,14 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from retalake.functions.columns import day_part, ingest_stamp, source_name, without_extension
 from retalake.operators import checks
 from retalake.operators.gold import to_gold
 from retalake.operators.keys import dense_id
 from retalake.operators.silver import deduplicated, defaults_filled, to_silver, typed, with_year
-from retalake.operators.star import build_dim, build_fact, rebuild_star, written_dims, year_as_text
+from retalake.operators.star import build_dim, build_fact, drop_star, rebuild_star, written_dims, year_as_text
 from retalake.plans.jobs import Lake, run_batch
 from retalake.plans.sales import raw_sales, table
 from retalake.schemas import (
@@ -30,13 +31,16 @@ from retalake.schemas import (
 from retalake.session import Scratch
 from retalake.sources.landing import MALFORMED, malformed, read_bronze, read_lines
 from retalake.sources.layers import read_gold, read_silver, write_gold, write_silver
-from retalake.sources.warehouse import drop_star, load_warehouse, truncate_staging
+from retalake.sources.warehouse import load_warehouse, truncate_staging
 from retalake.streaming.ingest import run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Sums of money go through decimals, whose order of addition does not matter.
-_EXACT = "decimal(28,8)"
+
+def _shown(df: DataFrame) -> DataFrame:
+    """Decimals as text, so that every digit is compared."""
+    exact = [f.name for f in df.schema if isinstance(f.dataType, DecimalType)]
+    return df.withColumns({c: F.col(f"`{c}`").cast("string") for c in exact})
 
 
 def gold_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,15 +51,15 @@ def gold_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed(raw_sales(spark, sf_dir))
+    return _shown(typed(raw_sales(spark, sf_dir)))
 
 
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deduplicated(typed(raw_sales(spark, sf_dir)))
+    return _shown(deduplicated(typed(raw_sales(spark, sf_dir))))
 
 
 def silver_fill_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return defaults_filled(typed(raw_sales(spark, sf_dir)))
+    return _shown(defaults_filled(typed(raw_sales(spark, sf_dir))))
 
 
 def silver_year(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,14 +68,14 @@ def silver_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_silver(raw_sales(spark, sf_dir))
+    return _shown(to_silver(raw_sales(spark, sf_dir)))
 
 
 # --- gold -----------------------------------------------------------------
 
 
 def gold_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_sales(spark, sf_dir)
+    return _shown(gold_sales(spark, sf_dir))
 
 
 def gold_full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +87,10 @@ def gold_email_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_net_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_sales(spark, sf_dir).select(
-        "valor_da_compra", "desconto_oferecido", "valor_com_desconto"
+    return _shown(
+        gold_sales(spark, sf_dir).select(
+            "valor_da_compra", "desconto_oferecido", "valor_com_desconto", "valor_exato", "valor_liquido_exato"
+        )
     )
 
 
@@ -98,9 +104,7 @@ def gold_daypart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _by_daypart_and_year(gold: DataFrame) -> DataFrame:
     return gold.groupBy(YEAR, "turno_compra").agg(
         F.count("*").alias("vendas"),
-        F.round(F.sum(F.col("valor_com_desconto").cast(_EXACT)), 2)
-        .cast("double")
-        .alias("valor_liquido"),
+        F.round(F.sum("valor_liquido_exato"), 2).cast("double").alias("valor_liquido"),
     )
 
 
@@ -177,7 +181,7 @@ def partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     write_silver(to_silver(raw_sales(spark, sf_dir)), scratch.path("silver"))
     write_gold(to_gold(read_silver(spark, scratch.path("silver"))), scratch.path("gold"))
-    return read_gold(spark, scratch.path("gold")).where(F.col(YEAR) == 1996)
+    return _shown(read_gold(spark, scratch.path("gold")).where(F.col(YEAR) == 1996))
 
 
 def _new_database(spark: SparkSession, scratch: Scratch) -> str:
@@ -233,7 +237,8 @@ def star_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rebuild_star(spark, database)
 
     def counts(when: str) -> DataFrame:
-        names = [t.name for t in spark.catalog.listTables(database)]
+        there = {t.name for t in spark.catalog.listTables(database)}
+        names = [t for t in (STAGING_TABLE, FACT_TABLE, *(d.table for d in DIMENSIONS)) if t in there]
         return scratch.save(_table_counts(spark, database, names).withColumn("momento", F.lit(when)), when)
 
     before = counts("antes")
@@ -303,12 +308,12 @@ def _star(
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fact columns but the sale id, whose order is free; see ``fact_key`` for that."""
-    return _star(spark, sf_dir)[0].drop("venda_id")
+    return _shown(_star(spark, sf_dir)[0].drop("venda_id"))
 
 
 def fact_sales_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact by the literal lookups, which multiply some sales and lose others."""
-    return _star(spark, sf_dir, legacy_keys=True)[0].drop("venda_id")
+    return _shown(_star(spark, sf_dir, legacy_keys=True)[0].drop("venda_id"))
 
 
 def fact_year_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,7 +422,7 @@ def reconcile_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five sales, the first ones by all columns."""
-    return checks.sample(gold_sales(spark, sf_dir).orderBy(*GOLD.names))
+    return _shown(checks.sample(gold_sales(spark, sf_dir).orderBy(*GOLD.names)))
 
 
 def sample_size(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,13 @@ BRONZE_COLUMNS = [
 
 # Lineage and partition columns of the silver and gold layers.
 SILVER_SOURCE, SILVER_YEAR = "Arquivo de Origem", "Ano"
+SILVER_EXACT = "Valor Exato"
 SOURCE, YEAR = "arquivo_de_origem", "ano"
+# Partition of the layers and of the staging table: number of the load that brought the rows.
+LOAD = "carga"
+
+# Money as the text says it, and its product with a discount of up to six places.
+MONEY, NET_MONEY = T.DecimalType(18, 2), T.DecimalType(28, 8)
 
 # Silver types that differ from string.
 _SILVER_TYPES = {
@@ -39,12 +45,13 @@ BRONZE = T.StructType([T.StructField(c, T.StringType()) for c in BRONZE_COLUMNS]
 SILVER = T.StructType(
     [T.StructField(c, _SILVER_TYPES.get(c, T.StringType())) for c in BRONZE_COLUMNS]
     + [
+        T.StructField(SILVER_EXACT, MONEY),
         T.StructField(SILVER_SOURCE, T.StringType()),
         T.StructField(SILVER_YEAR, T.IntegerType()),
     ]
 )
 
-# Gold and warehouse staging columns, in table order.
+# Gold and warehouse staging columns, in table order; the exact values stand before the partition columns.
 GOLD = T.StructType(
     [
         T.StructField("timestamp_do_registro", T.TimestampNTZType()),
@@ -64,6 +71,8 @@ GOLD = T.StructType(
         T.StructField("campanha_de_marketing", T.StringType()),
         T.StructField("vendedor", T.StringType()),
         T.StructField("codigo_de_desconto_usado", T.StringType()),
+        T.StructField("valor_exato", MONEY),
+        T.StructField("valor_liquido_exato", NET_MONEY),
         T.StructField(SOURCE, T.StringType()),
         T.StructField(YEAR, T.IntegerType()),
     ]
@@ -98,8 +107,15 @@ DIMENSIONS = [
     Dimension("dim_cliente", "cliente_id", ("nome_completo", "email", "dominio_email", "telefone")),
 ]
 
+# The staging table, a view over the loads that count, and what lies behind it.
 STAGING_TABLE = "registros_vendas"
+LOADS_TABLE = "registros_vendas_cargas"
+SOURCES_TABLE = "registros_vendas_fontes"
 FACT_TABLE = "fato_vendas"
+# The star's versions, their number in every table behind a view, and endings of those tables' names.
+STAR_TABLE = "estrela"
+VERSION_COLUMN = "versao"
+VERSIONS, KEYS = "_versoes", "_chaves"
 
 # Fact columns, in table order.
 FACT = T.StructType(
@@ -117,6 +133,8 @@ FACT = T.StructType(
         T.StructField("valor_da_compra", T.DoubleType()),
         T.StructField("turno_compra", T.StringType()),
         T.StructField("valor_com_desconto", T.DoubleType()),
+        T.StructField("valor_exato", MONEY),
+        T.StructField("valor_liquido_exato", NET_MONEY),
         T.StructField("arquivo_de_origem", T.StringType()),
     ]
 )

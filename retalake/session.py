@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -31,18 +32,33 @@ def local_session(name: str = "retalake", cpus: str = "*", memory: str = "8g") -
     return spark
 
 
+_lock = threading.Lock()
+#: Options set for blocks that run now: number of blocks and the value before the first of them.
+_held: dict[tuple[int, str, str], tuple[int, str | None]] = {}
+
+
 @contextmanager
 def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """Set a runtime option for one block and put the old value back."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+    """Set a runtime option for one block and put the old value back.
+
+    Blocks in several threads of one session may hold the same value: the last one to end puts the old value back.
+    """
+    mine = (spark._jsparkSession.hashCode(), key, value)
+    with _lock:
+        blocks, before = _held.get(mine, (0, spark.conf.get(key, None)))
+        _held[mine] = blocks + 1, before
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        with _lock:
+            blocks, before = _held.pop(mine)
+            if blocks > 1:
+                _held[mine] = blocks - 1, before
+            elif before is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before)
 
 
 @contextmanager
@@ -98,12 +114,16 @@ class Scratch:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/retalake-{uuid.uuid4().hex}"
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
-        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        system.mkdirs(path)
-        system.deleteOnExit(path)
+        self.made = False
 
     def path(self, name: str) -> str:
+        """Place of a table. The folder is made at the first call, since only an existing one can be marked to go."""
+        if not self.made:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+            system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            system.mkdirs(path)
+            system.deleteOnExit(path)
+            self.made = True
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
@@ -114,4 +134,5 @@ class Scratch:
         return self
 
     def __exit__(self, *exc: object) -> None:
-        remove_folder(self.spark, self.root)
+        if self.made:
+            remove_folder(self.spark, self.root)

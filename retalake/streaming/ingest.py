@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from retalake.plans.jobs import Lake, load_changed, load_sales, note_loaded
-from retalake.sources.landing import ADMITTED_FILES, malformed, stream_lines, well_formed
+from retalake.plans.jobs import Lake, load_files, load_new
+from retalake.session import Scratch, folder_exists
+from retalake.sources.landing import ADMITTED_FILES, landing_root, stream_arrivals
 
 
 def run_stream(
@@ -17,33 +18,34 @@ def run_stream(
     files: str = ADMITTED_FILES,
     stamped: bool = True,
     strict: bool = False,
-    max_files: int | None = None,
+    max_files: int = 1000,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Load files as they arrive, up to the staging table.
-
-    A file lies wholly in one micro-batch and rows are deduplicated per file,
-    so no state is kept between batches. A batch that runs again replaces the
-    partitions it wrote before. Without ``every`` the query ends when all
-    present files are loaded; the checkpoint remembers them by path. Files
-    that have changed since they were loaded are loaded again first, and with
-    ``every`` also along with each batch. Malformed lines are kept under
-    ``lake.rejected``, by batch; with ``strict`` they fail the query.
+    """Load files as they arrive, up to the staging table; a micro-batch of at most ``max_files`` files is a load.
+
+    The stream tells which files have come and opens none; the load reads them and records each in the lake's ledger,
+    which decides what is new. So a batch that runs again, or a batch run besides, loads nothing twice. A file lies
+    wholly in one micro-batch and rows are deduplicated per file, so no state is kept between batches. Without
+    ``every`` the query ends when all present files are loaded.
+
+    The stream's checkpoint remembers files by path, whatever they held. So files that the ledger lacks although their
+    path may be known, those that have changed or had no byte at first, are loaded before a stream goes on that has
+    run before, and with ``every`` after each batch. Malformed lines and files with another header are left out as
+    in :func:`retalake.plans.jobs.run_batch`; with ``strict`` they fail the query.
     """
+    root = landing_root(spark, landing)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_changed(spark, landing, lake, files, stamped, strict)
-        batch.persist()
-        malformed(batch).write.mode("overwrite").parquet(f"{lake.rejected}/lote={batch_id}")
-        sources = load_sales(well_formed(batch), lake, strict)
-        note_loaded(spark, landing, lake, files, stamped, sources)
-        batch.unpersist()
-
-    load_changed(spark, landing, lake, files, stamped, strict)
-    writer = (
-        stream_lines(spark, landing, files, stamped, max_files, strict)
-        .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-    )
+        with Scratch(spark) as tables:
+            batch.write.parquet(tables.path("arrivals"))
+            arrivals = spark.read.schema(batch.schema).parquet(tables.path("arrivals"))
+            load_files(spark, lake, arrivals, root, stamped, strict)
+        if every:
+            load_new(spark, landing, lake, files, stamped, strict, max_files)
+
+    if folder_exists(spark, checkpoint):
+        load_new(spark, landing, lake, files, stamped, strict, max_files)
+    arriving = stream_arrivals(spark, landing, files, stamped, max_files)
+    writer = arriving.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

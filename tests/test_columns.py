@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -38,6 +39,23 @@ def test_comma_decimal(spark):
     assert got == [2500.5, 2500.5, 70.0, None, None, None, None]
 
 
+def test_exact_money(spark):
+    texts = ["2500,50", "2500.5", "-3", "7,", "0,100", "9999999999999999.99", "1.234,56", "1,005", "NaN", "Infinity", "1e3", " 1", "", None]
+    expected = ["2500.50", "2500.50", "-3.00", "7.00", "0.10", "9999999999999999.99", *[None] * 8]
+    assert values(spark, texts, C.exact_money) == [x if x is None else Decimal(x) for x in expected]
+    for text in ("NaN", "1,005", "12345678901234567"):
+        with pytest.raises(PySparkException, match="not exact money"):
+            values(spark, [text], lambda c: C.exact_money(c, strict=True))
+
+
+def test_exact_net(spark):
+    net = lambda c: C.exact_net(c.cast("decimal(18,2)"), F.lit(0.11))
+    assert values(spark, ["100", "0.01", "9999999999999999.99"], net) == [
+        Decimal("89"), Decimal("0.0089"), Decimal("8899999999999999.9911")
+    ]
+    assert values(spark, ["1"], lambda c: C.exact_net(c.cast("decimal(18,2)"), F.lit(float("inf")))) == [None]
+
+
 def test_percent_fraction(spark):
     got = values(spark, ["11%", "8", "0%", "x%", None], C.percent_fraction)
     assert got == [0.11, 0.08, 0.0, None, None]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -14,7 +15,18 @@ def fake(named: str | None, master: str):
 
 def test_the_folder_named_by_the_cluster_is_used():
     assert shared_folder(fake("hdfs://shared/c", "yarn")) == "hdfs://shared/c"
-    assert Scratch(fake("hdfs://shared/c", "yarn")).path("x").startswith("hdfs://shared/c/retalake-")
+    assert Scratch(fake("hdfs://shared/c", "yarn")).root.startswith("hdfs://shared/c/retalake-")
+
+
+def test_scratch_tables_lie_in_that_folder(spark, tmp_path):
+    named = SimpleNamespace(
+        conf={"spark.checkpoint.dir": str(tmp_path / "shared")}, sparkContext=spark.sparkContext, read=spark.read
+    )
+    with Scratch(named) as scratch:
+        assert not (tmp_path / "shared").exists()  # nothing is made before it is needed
+        assert scratch.save(spark.range(3), "three").count() == 3
+        assert [f.name for f in (tmp_path / "shared").iterdir()] == [os.path.basename(scratch.root)]
+    assert list((tmp_path / "shared").iterdir()) == []
 
 
 def test_a_cluster_without_shared_folder_is_refused():
@@ -43,5 +55,16 @@ def test_session_conf_puts_values_back(spark):
     assert spark.conf.get(unset, None) is None
 
 
+def test_blocks_that_overlap_share_an_option(spark):
+    key = "spark.sql.shuffle.partitions"
+    first, second = session_conf(spark, key, "3"), session_conf(spark, key, "3")
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == "3"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key) == "8"
+
+
 def test_together_keeps_the_order(spark):
     assert together(spark, [lambda i=i: spark.range(i).count() for i in (3, 1, 2)]) == [3, 1, 2]
