@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.schemas import DIMENSIONS, FACT_TABLE, SILVER_SOURCE, SOURCE, STAGING_TABLE
+from retalake.operators.silver import typed
+from retalake.schemas import DIMENSIONS, FACT_TABLE, SILVER_EXACT, SILVER_SOURCE, SOURCE, STAGING_TABLE
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def reference_check(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
     same = (F.col("coluna") == F.col("_column")) & (F.col("_key") == F.col("_known"))
     missing = counted.join(known, same, "left_anti").groupBy("coluna").agg(F.sum("_rows").alias("_missing"))
-    every = fact.sparkSession.createDataFrame([(n,) for n in names], "coluna string")
+    every = fact.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("coluna"))
     orphaned = F.coalesce("_missing", F.lit(0)).cast("long").alias("orfaos")
     return every.join(missing, "coluna", "left").select("coluna", orphaned)
 
@@ -73,6 +74,19 @@ def null_counts(df: DataFrame) -> DataFrame:
     return _one_row_per_column(df.agg(*counts), "nulos", df.columns)
 
 
+def cast_losses(bronze: DataFrame) -> DataFrame:
+    """Texts per source and column that the silver types cannot hold, in one scan.
+
+    ``Valor Exato`` counts texts that are no exact money, some of which the float column still takes.
+    """
+    texts = {SILVER_EXACT: "Valor da Compra", **{c: c for c in ("Timestamp do Registro", "Valor da Compra", "Desconto Oferecido")}}
+    before = {c: F.col(f"`{t}`").isNotNull().alias(f"_{k}") for k, (c, t) in enumerate(texts.items())}
+    both = typed(bronze.select("*", *before.values()))
+    lost = [F.count_if(F.col(f"_{k}") & F.col(f"`{c}`").isNull()).alias(c) for k, c in enumerate(texts)]
+    counted = both.groupBy(F.col(f"`{SILVER_SOURCE}`").alias(SOURCE)).agg(*lost)
+    return counted.unpivot([SOURCE], [F.col(f"`{c}`") for c in texts], "coluna", "perdidos")
+
+
 def schema_profile(df: DataFrame) -> DataFrame:
     """Type and number of filled values per column."""
     counts = [F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]
@@ -118,8 +132,19 @@ def reconcile_layers(layers: dict[str, DataFrame]) -> DataFrame:
         parts.append(df.select(F.col(f"`{source}`").alias(SOURCE), F.lit(name).alias("_layer")))
     rows = reduce(DataFrame.unionByName, parts)
     counts = [F.count_if(F.col("_layer") == name).alias(name) for name in layers]
-    result = rows.groupBy(SOURCE).agg(*counts)
-    after_bronze = [F.col(name) for name in list(layers)[1:]]
+    return _reconciled(rows.groupBy(SOURCE).agg(*counts), list(layers))
+
+
+def reconcile_counts(layers: dict[str, DataFrame]) -> DataFrame:
+    """:func:`reconcile_layers` from frames of (source, rows) that are counted already."""
+    parts = [df.toDF(SOURCE, "_rows").withColumn("_layer", F.lit(name)) for name, df in layers.items()]
+    rows = reduce(DataFrame.unionByName, parts)
+    counts = [F.sum(F.when(F.col("_layer") == name, F.col("_rows")).otherwise(0)).alias(name) for name in layers]
+    return _reconciled(rows.groupBy(SOURCE).agg(*counts), list(layers))
+
+
+def _reconciled(result: DataFrame, layers: list[str]) -> DataFrame:
+    after_bronze = [F.col(name) for name in layers[1:]]
     agree = reduce(
         lambda a, b: a & b, (c == after_bronze[0] for c in after_bronze[1:]), F.lit(True)
     )

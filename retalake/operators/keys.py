@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retalake.session import Scratch
@@ -39,3 +39,22 @@ def dense_id(
         .join(F.broadcast(starts), "_partition")
         .select((F.col("_start") + position).alias(name), *columns)
     )
+
+
+def hash_id(columns: tuple[str, ...]) -> Column:
+    """64-bit id from the values alone, the same wherever it is computed. A NULL differs from every value."""
+    parts = [p for c in columns for p in (F.col(c), F.col(c).isNull())]
+    return F.xxhash64(*parts)
+
+
+class HashCollision(Exception):
+    """Two natural keys of a dimension have one hash id."""
+
+
+def hashed_keys(keys: DataFrame, name: str, scratch: Scratch) -> DataFrame:
+    """The written distinct ``keys`` with their hash id in front; fails if two of them share one."""
+    rows = scratch.save(keys.select(hash_id(tuple(keys.columns)).alias(name), *keys.columns), f"{name}-hashed")
+    twice = rows.groupBy(name).agg(F.count("*").alias("_n")).where("_n > 1").limit(1).collect()
+    if twice:
+        raise HashCollision(f"{name} {twice[0][0]} stands for {twice[0]._n} keys")
+    return rows

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retalake.functions.columns import comma_decimal, exact_money, percent_fraction, sale_timestamp
-from retalake.schemas import SILVER, SILVER_EXACT, SILVER_YEAR
+from retalake.schemas import SILVER, SILVER_EXACT, SILVER_SOURCE, SILVER_YEAR
 
 # What stands in for missing values.
 DEFAULTS = {
@@ -38,6 +38,24 @@ def deduplicated(sales: DataFrame) -> DataFrame:
     return sales.dropDuplicates()
 
 
+def across_files(new: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Silver rows without copies in other files: of equal sales of several sources the one of the least name stays.
+
+    With ``history``, silver rows of earlier loads, sales that these hold are left out as well. Only digests meet:
+    the history is reduced to those that the new rows have at all, by a semi join whose filter Spark pushes into the
+    history's scan, before the anti join decides. For batches; a stream keeps to single files. What is left out
+    because of an earlier file does not come back when that file is corrected without it.
+    """
+    content = [c for c in new.columns if c != SILVER_SOURCE]
+    first = new.groupBy(*(F.col(f"`{c}`") for c in content)).agg(F.min(F.col(f"`{SILVER_SOURCE}`")).alias(SILVER_SOURCE))
+    if history is None:
+        return first.select(*(f"`{c}`" for c in new.columns))
+    digest = F.sha2(F.to_json(F.struct(*(F.col(f"`{c}`") for c in content)), {"ignoreNullFields": "false"}), 256)
+    marked = first.withColumn("_digest", digest)
+    known = history.select(digest.alias("_digest")).join(marked.select("_digest"), "_digest", "left_semi").distinct()
+    return marked.join(known, "_digest", "left_anti").select(*(f"`{c}`" for c in new.columns))
+
+
 def defaults_filled(sales: DataFrame) -> DataFrame:
     return sales.fillna(DEFAULTS)
 

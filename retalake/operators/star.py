@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from retalake.operators.keys import dense_id
+from retalake.operators.keys import dense_id, hash_id, hashed_keys
 from retalake.schemas import (
     DIMENSIONS,
     FACT,
@@ -156,6 +156,19 @@ def numbered_keys(keys: DataFrame, known: DataFrame, dim: Dimension, scratch: Sc
     return fresh, kept.union(fresh.select(dim.id, *dim.key))
 
 
+def hashed_star(sales: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(fact, written dimensions) by hash ids of the natural keys, for dimensions too large to look up.
+
+    A sale's ids come from its own columns, so the fact is a projection: no join, no shuffle, however many rows a
+    key has. That an id stands for one key is checked on each dimension before. Ids are not dense, and need no table
+    to stay the same from one rebuild to the next.
+    """
+    dims = {d.table: hashed_keys(sales.select(*d.key).distinct(), d.id, scratch) for d in DIMENSIONS}
+    fact = sales.withColumns({d.id: hash_id(d.key) for d in DIMENSIONS})
+    columns = (F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT if f.name != "venda_id")
+    return fact.select(F.monotonically_increasing_id().alias("venda_id"), *columns), dims
+
+
 def rebuild_star(spark: SparkSession, database: str, legacy_keys: bool = False) -> int:
     """Build a new version of all dimensions and the fact from the staging table, and return its number.
 

@@ -224,6 +224,36 @@ UNION ALL SELECT 'chave ' || tabela, registros FROM ({dim_counts})
 {' '.join(f"UNION ALL SELECT 'referencia {d.id}', 0" for d in DIMENSIONS)})""",
         "batch_run": _TO_GOLD + _BY_DAYPART_AND_YEAR,
         "stream_run": _TO_GOLD + _BY_DAYPART_AND_YEAR,
+        "batch_increments": _TO_GOLD
+        + """SELECT 0 AS corrida, r.n AS linhas, false AS recusados, f.n AS registros FROM raws AS r, per_file AS f
+UNION ALL SELECT 1, r.n, true, 2 * f.n FROM raws AS r, per_file AS f
+UNION ALL SELECT 2, 0, false, 2 * f.n FROM raws AS r, per_file AS f""".replace(
+            "raws", "(SELECT count(*) AS n FROM raw)"
+        ).replace("per_file", "(SELECT count(*) AS n FROM gold)"),
+        "batch_reconciled": _TO_GOLD
+        + """SELECT r.n AS bronze, g.n AS silver, g.n AS gold, g.n AS fato, r.n - g.n AS duplicados, true AS confere
+FROM (SELECT count(*) AS n FROM raw) AS r, (SELECT count(*) AS n FROM gold) AS g""",
+        "star_keys_kept": _TO_GOLD
+        + """SELECT row_number() OVER (ORDER BY CAST(telefone AS BIGINT) % 2, nome_completo NULLS FIRST, email NULLS FIRST,
+  dominio_email NULLS FIRST, telefone NULLS FIRST) - 1 AS cliente_id, *
+FROM (SELECT DISTINCT nome_completo, email, dominio_email, telefone FROM gold)""",
+        "fact_hashed": _TO_GOLD
+        + f"SELECT arquivo_de_origem, ano, {', '.join(c for d in DIMENSIONS for c in d.key)} FROM gold",
+        "silver_across_files": _TO_SILVER
+        + f"""SELECT {_TYPED_TEXT} FROM (SELECT * REPLACE ('novo_a_' || "Arquivo de Origem" AS "Arquivo de Origem") FROM silver
+WHERE CAST("Telefone" AS BIGINT) % 3 <> 0)""",
+        "cast_losses": _with(_RAW)
+        + """SELECT "Arquivo de Origem" AS arquivo_de_origem, coluna, perdidos FROM (
+UNPIVOT (SELECT "Arquivo de Origem",
+    count(*) FILTER ("Timestamp do Registro" IS NOT NULL
+      AND try_strptime("Timestamp do Registro", '%Y-%m-%d %H:%M:%S') IS NULL) AS "Timestamp do Registro",
+    count(*) FILTER ("Valor da Compra" IS NOT NULL
+      AND TRY_CAST(replace("Valor da Compra", ',', '.') AS FLOAT) IS NULL) AS "Valor da Compra",
+    count(*) FILTER ("Desconto Oferecido" IS NOT NULL
+      AND TRY_CAST(replace("Desconto Oferecido", '%', '') AS FLOAT) IS NULL) AS "Desconto Oferecido",
+    count(*) FILTER (NOT regexp_matches("Valor da Compra", '^[+-]?[0-9]+([.,][0-9]{0,2}0*)?$')) AS "Valor Exato"
+  FROM raw GROUP BY 1)
+ON "Timestamp do Registro", "Valor da Compra", "Desconto Oferecido", "Valor Exato" INTO NAME coluna VALUE perdidos)""",
         "fact_sales": fact_with + "SELECT * FROM fact",
         "fact_sales_legacy": _TO_DIMS + _fact(True),
         "fact_year_text": _TO_GOLD

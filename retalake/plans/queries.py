@@ -14,15 +14,24 @@ from retalake.functions.columns import day_part, ingest_stamp, source_name, with
 from retalake.operators import checks
 from retalake.operators.gold import to_gold
 from retalake.operators.keys import dense_id
-from retalake.operators.silver import deduplicated, defaults_filled, to_silver, typed, with_year
-from retalake.operators.star import build_dim, build_fact, drop_star, rebuild_star, written_dims, year_as_text
-from retalake.plans.jobs import Lake, run_batch
+from retalake.operators.silver import across_files, deduplicated, defaults_filled, to_silver, typed, with_year
+from retalake.operators.star import (
+    build_dim,
+    build_fact,
+    drop_star,
+    hashed_star,
+    rebuild_star,
+    written_dims,
+    year_as_text,
+)
+from retalake.plans.jobs import Lake, reconcile_lake, run_batch
 from retalake.plans.sales import raw_sales, table
 from retalake.schemas import (
     BRONZE_COLUMNS,
     DIMENSIONS,
     FACT_TABLE,
     GOLD,
+    SILVER_SOURCE,
     SOURCE,
     STAGING_TABLE,
     YEAR,
@@ -129,10 +138,10 @@ def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed_csv(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
-    """Raw sales as headed CSV files, the way they land."""
+def _landed_csv(spark: SparkSession, sf_dir: str, scratch: Scratch, names: dict[str, str] | None = None) -> str:
+    """Raw sales as headed CSV files, the way they land; ``names`` changes the header."""
     folder = scratch.path("landing")
-    raw_sales(spark, sf_dir).select(*BRONZE_COLUMNS).write.option("header", True).option(
+    raw_sales(spark, sf_dir).select(*BRONZE_COLUMNS).withColumnsRenamed(names or {}).write.option("header", True).option(
         "ignoreLeadingWhiteSpace", False
     ).option("ignoreTrailingWhiteSpace", False).csv(folder)
     return folder
@@ -144,9 +153,11 @@ def bronze_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, folder, files="part-*.csv").select(*BRONZE_COLUMNS)
 
 
-def _landed_as(spark: SparkSession, sf_dir: str, landing: str, prefix: str, suffix: str) -> None:
+def _landed_as(
+    spark: SparkSession, sf_dir: str, landing: str, prefix: str, suffix: str, names: dict[str, str] | None = None
+) -> None:
     """All raw sales once more in the landing folder, in files of these names."""
-    folder = _landed_csv(spark, sf_dir, Scratch(spark))
+    folder = _landed_csv(spark, sf_dir, Scratch(spark), names)
     path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     system = path_of(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     system.mkdirs(path_of(landing))
@@ -289,6 +300,76 @@ def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_daypart_and_year(spark.table(f"{lake.database}.{STAGING_TABLE}"))
 
 
+def _lake(spark: SparkSession, scratch: Scratch) -> Lake:
+    return Lake(scratch.path("lake"), _new_database(spark, scratch))
+
+
+def batch_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over one landing folder: all sales; all again in other files, once with another header; no new file.
+
+    Per run, the lines it loaded, the files it left out, and the staging table's rows afterwards.
+    """
+    scratch = Scratch(spark)
+    lake, landing = _lake(spark, scratch), scratch.path("landing")
+    parts = []
+    for run, prefixes in enumerate((["registros_a"], ["registros_b", "registros_x"], [])):
+        for prefix in prefixes:
+            other = {BRONZE_COLUMNS[0]: "Momento"} if prefix == "registros_x" else {}
+            _landed_as(spark, sf_dir, landing, prefix, ".csv", other)
+        taken = run_batch(spark, landing, lake)
+        left_out = F.count_if(F.col("situacao") == "cabecalho") > 0
+        loaded = F.sum(F.when(F.col("situacao") == "carregado", F.col("linhas")))
+        row = taken.agg(F.coalesce(loaded, F.lit(0)).alias("linhas"), left_out.alias("recusados"))
+        staged = checks.row_count(spark.table(f"{lake.database}.{STAGING_TABLE}"))
+        parts.append(scratch.save(row.crossJoin(staged).withColumn("corrida", F.lit(run)), f"run-{run}"))  # one row each
+    return reduce(DataFrame.unionByName, parts)
+
+
+def batch_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all layers after a batch run, by the ledger and the partitions."""
+    scratch = Scratch(spark)
+    lake, landing = _lake(spark, scratch), scratch.path("landing")
+    _landed_as(spark, sf_dir, landing, "registros_a", ".csv")
+    run_batch(spark, landing, lake)
+    columns = ("bronze", "silver", "gold", "fato", "duplicados")
+    report = reconcile_lake(spark, lake)
+    return report.agg(*(F.sum(c).alias(c) for c in columns), F.every("confere").alias("confere"))
+
+
+def star_keys_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' ids after a rebuild over the even ones, and another over all: the first ones keep theirs."""
+    scratch = Scratch(spark)
+    database = _new_database(spark, scratch)
+    gold = scratch.save(gold_sales(spark, sf_dir), "gold")
+    for rows in (gold.where(F.col("telefone").cast("long") % 2 == 0), gold):
+        load_warehouse(rows, database)
+        rebuild_star(spark, database)
+    return spark.table(f"{database}.dim_cliente")
+
+
+def fact_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact by hash ids, joined back to the natural keys of all its dimensions."""
+    scratch = Scratch(spark)
+    fact, dims = hashed_star(scratch.save(gold_sales(spark, sf_dir), "gold"), scratch)
+    sales = fact.select(SOURCE, YEAR, *(d.id for d in DIMENSIONS))
+    for d in DIMENSIONS:
+        sales = sales.join(dims[d.table], d.id).drop(d.id)
+    return sales
+
+
+def silver_across_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales landed in two new files each, where an earlier load had every third customer's."""
+    raw = raw_sales(spark, sf_dir)
+    history = to_silver(raw.where(F.col("Telefone").cast("long") % 3 == 0))
+    copies = F.explode(F.array(F.lit("novo_b_"), F.lit("novo_a_")))
+    new = raw.select("*", copies.alias("file")).withColumn(SILVER_SOURCE, F.concat("file", F.col(f"`{SILVER_SOURCE}`")))
+    return _shown(across_files(to_silver(new.drop("file")), history))
+
+
+def cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.cast_losses(raw_sales(spark, sf_dir))
+
+
 # --- star -----------------------------------------------------------------
 
 
@@ -455,6 +536,12 @@ def all_queries() -> dict[str, Query]:
         batch_run,
         batch_checks,
         stream_run,
+        batch_increments,
+        batch_reconciled,
+        star_keys_kept,
+        fact_hashed,
+        silver_across_files,
+        cast_losses,
         fact_sales,
         fact_sales_legacy,
         fact_year_text,
