@@ -42,7 +42,7 @@ OTHER_CUT = 12
 STRETCH = 64
 #: Tokens that are cut into sequences at a time, and bytes of text that are encoded at a time.
 SEGMENT = 200_000
-CHARS = 2_000_000
+CHARS = 500_000
 #: Texts that the tokenizer gets at a time; its own records of a text are far larger than the ids.
 AT_A_TIME = 16
 #: Distinct parts whose ids a task remembers; only speed depends on it.
