@@ -13,6 +13,17 @@ from retalake.llm.common import scratch, table, tokenizer_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Rows that an Arrow batch carries to a Python worker, where the session does not say. Texts are long, and a batch is
+#: held by the executor and by the worker.
+ARROW_ROWS = 1000
+
+
+def _short_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept."""
     return quality_rules.accepted(spark, docs, table(spark, sf_dir, "labels"))
@@ -20,6 +31,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    _short_batches(spark)
     return near_dedup.one_of_each(spark, docs, percent=80, size=5)
 
 
@@ -35,6 +47,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their token ids, in sequences of 2048."""
+    _short_batches(spark)
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), with_ids=True)
 
 
