@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm.common import counted_broadcast, giving_back, join_rows, scratch
+from retalake.llm.common import counted_broadcast, fresh, giving_back, join_rows, scratch
 from retalake.llm.components import connected_components
 from retalake.session import Scratch
 
@@ -304,7 +304,33 @@ def near_duplicates(
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, percent: int = 85, size: int = 3) -> DataFrame:
-    """The documents that name their component, with all their columns; a repeated doc_id keeps its rows."""
-    dropped = near_duplicates(spark, docs, percent, size).where("NOT kept").select("doc_id").distinct()
-    dropped = counted_broadcast(scratch(spark).save(dropped, "dropped"))
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each component, with all its columns.
+
+    Of the rows that share a doc_id, which count as linked, the one with the least hash of its text stays. Rows without
+    doc_id are compared like others, under ids above all given ones (or below them, if they leave no room), and keep
+    their null. Only where ids fill the whole range, both below -2^62 and above 2^62, are they linked with nothing.
+    """
+    tables = scratch(spark)
+    uses = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    odd = tables.save(uses.select("doc_id"), "odd")
+    unnamed = fresh("unnamed")
+    rows = docs.withColumn(unnamed, F.lit(False))
+    compared = rows
+    if not odd.isEmpty():
+        plain = join_rows(rows, counted_broadcast(odd), ["doc_id"], "left_anti")
+        again = rows.join(odd.where("doc_id IS NOT NULL"), "doc_id", "left_semi").select(*rows.columns)
+        least = F.min_by(F.struct(*rows.columns), F.xxhash64("text")).alias("row")
+        named = again.groupBy(F.col("doc_id").alias(fresh("id"))).agg(least).select("row.*")
+        low, high = (x or 0 for x in docs.agg(F.min(F.col("doc_id").cast("long")), F.max(F.col("doc_id").cast("long"))).first())
+        place = F.monotonically_increasing_id()
+        free = F.lit(high + 1) + place if high < 1 << 62 else F.lit(low - 1) - place if low > -(1 << 62) else F.lit(None)
+        null_id = free.cast("long").alias("doc_id")
+        others = [F.lit(True).alias(c) if c == unnamed else F.col(c) for c in rows.columns if c != "doc_id"]
+        nulls = tables.save(rows.where("doc_id IS NULL").select(null_id, *others), "unnamed")
+        others = plain.unionByName(nulls.select(*rows.columns))
+        compared, rows = others.unionByName(again), others.unionByName(named)
+    dropped = near_duplicates(spark, compared, percent, size).where("NOT kept").select("doc_id").distinct()
+    dropped = counted_broadcast(tables.save(dropped, "dropped"))
+    kept = rows.join(dropped, "doc_id", "left_anti")
+    kind = docs.schema["doc_id"].dataType
+    return kept.withColumn("doc_id", F.when(~F.col(unnamed), F.col("doc_id")).cast(kind)).select(*docs.columns)

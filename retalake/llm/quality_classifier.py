@@ -107,11 +107,13 @@ def graded(
     ``ratings`` has one row per doc_id with ``grade`` from 0 to grades - 1. Ids
     whose crc32 (as text) leaves ``held_out`` modulo ``modulus`` are not learned
     from. A null or empty text has no words and gets the thresholds alone.
+    Repeated rows are scored alike, and of the rows of one id one is learned
+    from. Other columns of both tables are not looked at.
     Without ratings every tail is one half.
     """
     train = training_row(F.col("doc_id"), modulus, held_out)
     tables = scratch(spark)
-    rated = ratings.where(train & F.col("grade").between(0, grades - 1))
+    rated = ratings.where(train & F.col("grade").between(0, grades - 1)).select("doc_id", "grade")
     sample = labelled_sample(docs.where(train), rated, SAMPLE, tables)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

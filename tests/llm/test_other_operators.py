@@ -252,7 +252,8 @@ def test_grades_are_ordered(spark, texts):
         rows.append((i, " ".join(rng.choice(("alpha", "beta", "gamma", mark)) for _ in range(30))))
         ratings.append((i, grade))
     docs = texts(*rows, *[(1000 + k, t) for k, (_, t) in enumerate(ODD)])
-    got = {r.doc_id: r for r in quality_classifier.graded(spark, docs, spark.createDataFrame(ratings, "doc_id long, grade int"), 3).collect()}
+    rated = spark.createDataFrame([(*r, "clash", 1) for r in ratings], "doc_id long, grade int, text string, at int")
+    got = {r.doc_id: r for r in quality_classifier.graded(spark, docs, rated, 3).collect()}
     held = [(round(got[i].expected_grade), g) for i, g in ratings if got[i].held_out]
     assert sum(a == b for a, b in held) >= 0.9 * len(held)
     assert all(r.tails[0] >= r.tails[1] and math.isclose(sum(r.tails), r.expected_grade) for r in got.values())

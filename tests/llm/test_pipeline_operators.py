@@ -9,6 +9,8 @@ import zlib
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from retalake.llm import decontamination, near_dedup, packing, pii, quality_rules
 from retalake.llm.common import tokenizer_path
 
@@ -69,6 +71,25 @@ def test_cutoffs_keep_their_limit(spark, texts):
     assert None not in ids
 
 
+def test_copies_are_one_trial_and_null_is_no_empty_language(spark, texts, monkeypatch):
+    seen = []
+    certify = quality_rules.certified_cutoffs
+    monkeypatch.setattr(quality_rules, "certified_cutoffs", lambda holdout, *a: seen.append(holdout) or certify(holdout, *a))
+    words = " ".join(f"word{i}" for i in range(60))
+    copies = [(i, words) for i in range(30)] + [(40, words + " a"), (40, words + " b")]
+    docs = texts(*copies, lang="").union(texts((50, words), (51, words), lang=None))
+    labels = spark.createDataFrame([(i, int(i != 3), 0) for i in range(60)], LABELS)
+    assert quality_rules.quality_filter(spark, docs, labels).count() == 34
+    trials = sorted((r.stratum, r.good) for r in seen[0].collect())
+    assert trials == [("=", False), ("=", True), ("=", True), ("null", True)]
+
+
+def test_no_cutoff_beyond_the_terms_that_are_summed(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "TAIL_TERMS", 5)
+    tails = spark.range(1).select(*[quality_rules.binomial_tail(F.lit(k), F.lit(1000), 0.05) for k in (5, 6)]).first()
+    assert tails[0] < 1e-9 and tails[1] == 1
+
+
 def test_quality_without_labels_or_documents(spark, texts):
     none = spark.createDataFrame([], LABELS)
     judged = quality_rules.quality_filter(spark, texts(*ODD, (9, "a1 b2 c3 d4 e5 " + " ".join(map(str, range(60))))), none)
@@ -150,7 +171,14 @@ def test_one_of_each(spark, texts):
     docs = texts((3, long), (1, long + " more"), (7, "else " + " ".join(map(str, range(50)))), (None, long), (8, None), (9, None))
     kept = near_dedup.one_of_each(spark, docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id is not None, r.doc_id) for r in kept.collect()) == [(False, None), (True, 1), (True, 7), (True, 8), (True, 9)]
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 7, 8, 9]  # the one without id is a copy
+    other = " ".join(f"v{i}" for i in range(80))
+    docs = texts((2, long), (2, long), (2, other), (4, other + " x"), (None, other), (None, None), (None, long + " y"), (None, "a b c d"), (None, "A b c d"))
+    kept = near_dedup.one_of_each(spark, docs).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "")[:2] for r in kept) == [(False, 2), (True, 0), (True, 0)]
+    assert {(r.text or "").lower() for r in kept if r.doc_id is None} == {"", "a b c d"}
+    far = texts((2**63 - 1, long), (-(2**63), other), (None, long))
+    assert near_dedup.one_of_each(spark, far).count() == 3
     assert near_dedup.one_of_each(spark, docs.where("false")).count() == 0
 
 
