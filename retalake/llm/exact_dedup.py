@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retalake.llm.common import BLANK_CLASS, grouped_rows, scratch
+from retalake.llm.common import BLANK_CLASS, counted_broadcast, fresh, grouped_rows, join_rows, scratch
 from retalake.session import Scratch, remove_folder
 
 #: Distinct texts that one bucket is meant to hold: some 50 MB of digests and ids.
@@ -110,6 +110,20 @@ def deduplicated(docs: DataFrame, index: DigestIndex, batch: str, tables: Scratc
     )
 
 
+def kept_documents(docs: DataFrame, verdicts: DataFrame, tables: Scratch) -> DataFrame:
+    """The documents that stay by the written ``verdicts`` of :func:`deduplicated`, with all their columns.
+
+    Texts are not moved, but for rows that share text and doc_id, of which one stays.
+    """
+    key = fresh("digest")
+    stays = verdicts.where("kept").select("doc_id", F.unhex("text_sha256").alias(key))
+    several = verdicts.groupBy("doc_id", F.unhex("text_sha256").alias(key)).agg(F.count("*").alias("n")).where("n > 1")
+    several = counted_broadcast(tables.save(several.select("doc_id", key), "several"))
+    kept = join_rows(docs.withColumn(key, digest(F.col("text"))), stays, ["doc_id", key], "left_semi")
+    one = join_rows(kept, several, ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key])
+    return join_rows(kept, several, ["doc_id", key], "left_anti").unionByName(one).select(*docs.columns)
+
+
 def deduplicated_once(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """:func:`deduplicated` against an index of its own that starts empty and leaves the catalog at the end."""
     tables = scratch(spark)

@@ -145,6 +145,11 @@ def test_copies_against_brute_force(spark):
     assert found.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     assert Counter(tuple(r) for r in found.collect()) == brute_copies(DOCS)
     assert {t.name for t in spark.catalog.listTables()} == before
+    kept = exact_dedup.kept_documents(df, found, scratch(spark))
+    assert kept.columns == df.columns
+    assert Counter((r.doc_id, hashlib.sha256(re.sub(BLANKS, " ", r.text or "").encode()).hexdigest()) for r in kept.collect()) == Counter(
+        (r.doc_id, r.text_sha256) for r in found.where("kept").collect()
+    )
     assert exact_dedup.deduplicated_once(spark, df.limit(0)).count() == 0
 
 
