@@ -194,7 +194,6 @@ def rebuild_star(spark: SparkSession, database: str, legacy_keys: bool = False)
         return spark.table(f"{database}.{table}{VERSIONS}").where(F.col(VERSION_COLUMN) == version).drop(VERSION_COLUMN)
 
     with Scratch(spark) as scratch, adaptive(spark):
-        scratch.path("")
 
         def fill(dim: Dimension) -> None:
             known = spark.table(f"{database}.{dim.table}{KEYS}").where(F.col(VERSION_COLUMN) < version)
