@@ -9,7 +9,7 @@
    the bands, so dense groups mostly merge here, and the number of comparisons
    is linear.
 5. Buckets whose classes are then still in different components are compared
-   completely, except inside a component, over a finer sketch of 2048 minima,
+   completely, except inside a component, over a finer sketch of 4096 minima,
    and each pair only in the first band that it shares. Large buckets are cut
    into blocks that different tasks compare.
 6. A fine sketch rules a pair out when it lies six standard deviations under
@@ -38,7 +38,7 @@ from retalake.session import Scratch
 
 ROWS = 4
 BANDS = 32  # at most 64: their number takes the low bits of a bucket
-FINE = 2048
+FINE = 4096
 #: Classes of one bucket that one task compares with each other.
 BLOCK = 1024
 #: Known word hashes that a worker keeps, texts that it turns into sets before it hands on what it made of them, and
