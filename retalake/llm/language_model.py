@@ -1,20 +1,29 @@
 """A log-bilinear language model trained by noise-contrastive estimation, and add-one unigrams beside it.
 
-Words are counted over all training documents. The most frequent ones, the
-classes of the neural model, are K - 2; every other word belongs to the class
-RARE, and END closes each document. With the two words before a token, u and v,
-
-    score(w | u, v) = (q[u] C1 + q[v] C2) . r[w] + b[w],
-
-and a rare word's probability is that of its class times its add-one share of
-the rare words, so that the model is normalised over all known words and one
-unknown word.
-
-Training reads every training document once. Each task turns its tokens into
-distinct triples with counts and runs NCE steps over them in numpy, with noise
-drawn from the class frequencies; the tasks' parameters are averaged by tokens
-and start the next round. What a task hands on is one block of parameters,
-whatever it has read.
+Words are counted over all training documents. Every word belongs to one of K
+classes: the most frequent words are classes of their own, the other COMMON ones
+share a class with those that stand among the same frequent words, the words
+beyond them are the class RARE, and END closes each document. With the classes
+of the two words before a token, u and v,
+
+    score(w | u, v) = (q[u] C1 + q[v] C2) . r[w] + b[w]
+
+is the score of class w, and a word's probability is that of its class times its
+share of the class: of all tokens there, and in RARE, which also holds one
+unknown word, its add-one share. So the model is normalised over all known words
+and one unknown word, and every word but the rare ones is a context that tells
+something and is foretold by its context.
+
+Classes come from the neighbours of each word in all training documents: the
+frequent words within REACH tokens, as a random projection in whole numbers, so
+that the sum is the same in any order. Spherical k-means over these at most
+COMMON short vectors groups the words.
+
+Training reads every training document PASSES times. Each task turns its tokens
+into distinct triples with counts and runs NCE steps over them in numpy, with
+noise drawn from the class frequencies; the tasks' parameters are averaged by
+tokens and start the next round. What a task hands on is one block of
+parameters, whatever it has read.
 
 Scoring uses three K x K tables made by matrix products from the parameters:
 two with the scores of all pairs, one with the normaliser of every context.
@@ -41,13 +50,25 @@ from retalake.llm.common import scratch, training_row
 
 RARE, END = 0, 1
 END_WORD = b"\n"  # no word contains a blank
+#: Classes, RARE and END among them; the part of them that is one word each; words that have or share a class.
 CLASSES = 1024
+HEADS = 0.6
 COMMON = 100_000
+#: Numbers that describe a word's neighbours, tokens to each side that are looked at, rounds of k-means.
+TRAITS = 24
+REACH = 3
+MEANS = 8
+#: Words whose neighbours' numbers travel as one row; tokens that are looked at together.
+BLOCK = 4096
+TOKENS = 200_000
 DIMENSIONS = 24
 NOISE = 32
+#: Triples of a step: a 64th of what a task has, within these bounds.
+LEAST_BATCH = 64
 BATCH = 4096
 RATE = 0.1
 ROUNDS = 2
+PASSES = 3
 #: Distinct words that a task counts before it hands counts on; distinct triples that a task trains on at a time.
 FLUSH = 500_000
 TRIPLES = 4_000_000
@@ -115,60 +136,143 @@ def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
     return {bytes(r["word"]): r["n"] for r in sorted(found, key=lambda r: (-r["n"], bytes(r["word"])))}
 
 
-def encoded(docs: DataFrame, common: dict[bytes, tuple[int, int]]) -> DataFrame:
-    """A row per document: row (unique), doc_id, held_out, n_tokens, known, logs and rare_logs (sums of log10(count + 1)
-    over the common words, and over those of them in class RARE), n_rare, ids (classes, 16 bits each), others (words
-    that are not common, with their number)."""
+def encoded(docs: DataFrame, common: dict[bytes, int]) -> DataFrame:
+    """A row per document: row (unique), doc_id, held_out, n_tokens, known, logs (sum of log10(count + 1) over the common
+    words), ids (places of the tokens in ``common``, 32 bits each, its length for other words), others (words that are
+    not common, with their number)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {w: i for i, w in enumerate(common)}
-        cls = np.array([c for c, _ in common.values()] + [RARE], np.uint16)
-        seen = np.array([n for _, n in common.values()] + [0], np.int64)
+        seen = np.array([*common.values(), 0], np.int64)
         logs = np.log10(seen + 1.0)
-        rare_logs = np.where(cls == RARE, logs, 0.0)
         other = len(common)
         row = TaskContext.get().partitionId() << 33
-        end = place.get(END_WORD, other)
         for batch in batches:
             out: list[tuple] = []
             for text in batch.column("text"):
                 words = words_of(text.as_py())
-                at = np.array([place.get(w, other) for w in words] + [end], np.int64)
+                at = np.array([place.get(w, other) for w in words] + [place[END_WORD]], np.int64)
                 missing = at == other
-                missing[-1] = False
-                ids = cls[at]
-                ids[-1] = END
                 rare = Counter(compress(words, missing[:-1])) if missing.any() else {}
-                out.append(
-                    (
-                        row,
-                        len(at),
-                        int((seen[at] > 0).sum()),
-                        float(logs[at].sum()),
-                        float(rare_logs[at[:-1]].sum()),
-                        int((ids == RARE).sum()),
-                        ids.astype("<u2").tobytes(),
-                        list(rare.items()),
-                    )
-                )
+                known, total = int((seen[at] > 0).sum()), float(logs[at].sum())
+                out.append((row, len(at), known, total, at.astype("<u4").tobytes(), list(rare.items())))
                 row += 1
-            columns = list(zip(*out, strict=True)) if out else [()] * 8
-            types = [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.int64(), pa.binary()]
+            columns = list(zip(*out, strict=True)) if out else [()] * 6
+            types = [pa.int64()] * 3 + [pa.float64(), pa.binary()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
             pair = pa.struct([("word", pa.binary()), ("n", pa.int64())])
-            others = [[{"word": w, "n": n} for w, n in items] for items in columns[7]]
+            others = [[{"word": w, "n": n} for w, n in items] for items in columns[5]]
             yield pa.RecordBatch.from_arrays(
                 [arrays[0], batch.column("doc_id"), batch.column("held_out"), *arrays[1:], pa.array(others, pa.list_(pair))],
-                ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "rare_logs", "n_rare", "ids", "others"],
+                ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "ids", "others"],
             )
 
     schema = (
-        "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, rare_logs double, n_rare long, "
-        "ids binary, others array<struct<word:binary,n:long>>"
+        "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, ids binary, "
+        "others array<struct<word:binary,n:long>>"
     )
     return docs.mapInArrow(run, schema)
 
 
+def neighbours(ids: np.ndarray, lengths: np.ndarray, traits: np.ndarray) -> np.ndarray:
+    """Per token, the sum of the ``traits`` of the tokens within REACH in its document; the last row of them is zero."""
+    document = np.repeat(np.arange(len(lengths)), lengths)
+    own = traits[np.minimum(ids, len(traits) - 1)]
+    out = np.zeros_like(own)
+    for k in range(1, REACH + 1):
+        same = (document[k:] == document[:-k])[:, None]
+        out[k:] += own[:-k] * same
+        out[:-k] += own[k:] * same
+    return out
+
+
+def word_traits(rows: DataFrame, heads: int, common: int) -> np.ndarray:
+    """A row per common word that is no head: sums of the traits of the heads beside it, and last their number.
+
+    ``rows`` has ids, in which 0 is END and the heads come next.
+    """
+    rng = np.random.default_rng(11)
+    # a frequent head says less; END and words that are no heads say nothing
+    scale = np.minimum(1, np.sqrt((1 + np.arange(heads)) / max(1, heads)))[:, None]
+    told = np.rint(40 * scale * rng.normal(0, 1, (heads, TRAITS)))
+    empty = np.zeros((1, TRAITS + 1))
+    traits = np.concatenate([empty, np.concatenate([told, np.ones((heads, 1))], axis=1), empty]).astype(np.int32)
+    first, size = heads + 1, common - heads - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size, TRAITS + 1), np.int32)
+
+        def add(held: list[np.ndarray], counted: list[np.ndarray]) -> None:
+            ids = np.concatenate(held)
+            found = neighbours(ids, np.array([len(x) for x in held]), traits)
+            at = np.flatnonzero((ids >= first) & (ids < common) & np.concatenate(counted))
+            at = at[np.argsort(ids[at], kind="stable")]
+            if len(at):
+                words = ids[at].astype(np.int64) - first
+                starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+                total[words[starts]] += np.add.reduceat(found[at], starts)
+
+        held: list[np.ndarray] = []
+        counted: list[np.ndarray] = []
+        tokens = 0
+        for batch in batches:
+            for ids in batch.column(0):
+                whole = np.frombuffer(ids.as_py(), "<u4")
+                for begin in range(0, len(whole), TOKENS):  # a long document in parts, each with its surroundings
+                    place = np.arange(max(0, begin - REACH), min(len(whole), begin + TOKENS + REACH))
+                    held.append(whole[place])
+                    counted.append((place >= begin) & (place < begin + TOKENS))
+                    tokens += len(place)
+                    if tokens >= TOKENS:
+                        add(held, counted)
+                        held, counted, tokens = [], [], 0
+        if held:
+            add(held, counted)
+        for begin in range(0, size, BLOCK):
+            part = total[begin : begin + BLOCK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([begin]), pa.array([part.tobytes()], pa.binary())], ["begin", "part"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for begin, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                whole[begin] = whole.get(begin, 0) + np.frombuffer(part.as_py(), np.int32).astype(np.int64)
+        for begin, part in whole.items():
+            yield pa.RecordBatch.from_arrays([pa.array([begin]), pa.array([part.tobytes()], pa.binary())], ["begin", "part"])
+
+    out = np.zeros((max(0, size), TRAITS + 1))
+    if size > 0:
+        schema = "begin long, part binary"
+        blocks = rows.select("ids").mapInArrow(run, schema).repartition(ADDERS, "begin").mapInArrow(sums, schema)
+        for r in blocks.collect():  # one row per block of words
+            part = np.frombuffer(bytes(r["part"]), np.int64).reshape(-1, TRAITS + 1)
+            out[r["begin"] : r["begin"] + len(part)] = part
+    return out
+
+
+def word_groups(traits: np.ndarray, counts: np.ndarray, groups: int) -> np.ndarray:
+    """Group of each word by spherical k-means, which starts at the first ``groups`` words; no words, no groups."""
+    met = traits[:, -1:]
+    usual = traits[:, :-1].sum(axis=0) / max(1.0, met.sum())
+    x = traits[:, :-1] - met * usual
+    x = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    weight = np.sqrt(counts).astype(np.float32)[:, None]
+    centres, group = x[:groups], np.zeros(len(x), np.int64)
+    for _ in range(MEANS if len(x) else 0):
+        for begin in range(0, len(x), 10_000):
+            group[begin : begin + 10_000] = (x[begin : begin + 10_000] @ centres.T).argmax(axis=1)
+        moved = summed(weight * x, group, len(centres))
+        length = np.linalg.norm(moved, axis=1, keepdims=True)
+        centres = np.where(length > 0, moved / np.maximum(length, 1e-9), centres)
+    return group
+
+
+def class_ids(documents: list[bytes], classed: np.ndarray) -> list[bytes]:
+    """The documents' tokens as classes, 16 bits each."""
+    return [classed[np.frombuffer(d, "<u4")].tobytes() for d in documents]
+
+
 def contexts(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(v, u, w, lengths): all tokens with the two classes before them; END stands before a document."""
     lengths = np.array([len(d) // 2 for d in documents], np.int64)
@@ -196,8 +300,9 @@ def nce_steps(model: Model, squares: Model, triples: np.ndarray, counts: np.ndar
     k = len(model.b)
     log_noise = np.log(NOISE * noise).astype(np.float32)
     order = rng.permutation(len(triples))
-    for begin in range(0, len(order), BATCH):
-        part = order[begin : begin + BATCH]
+    size = min(BATCH, max(LEAST_BATCH, len(order) // 64))
+    for begin in range(0, len(order), size):
+        part = order[begin : begin + size]
         v, u, w = triples[part].T
         weight = (counts[part] / counts[part].sum()).astype(np.float32)
         s = rng.choice(k, NOISE, p=noise)
@@ -226,11 +331,13 @@ def start_model(class_counts: np.ndarray) -> Model:
     return Model(q, np.eye(d, dtype=np.float32), 0.5 * np.eye(d, dtype=np.float32), r, np.log(share).astype(np.float32))
 
 
-def trained(rows: DataFrame, model: Model, class_counts: np.ndarray, rounds: int) -> Model:
-    """The model after one pass over the rows (row, ids), dealt over ``rounds`` rounds."""
+def trained(
+    rows: DataFrame, model: Model, class_counts: np.ndarray, classed: np.ndarray, rounds: int = ROUNDS, passes: int = PASSES
+) -> Model:
+    """The model after ``passes`` passes over the rows (row, ids), each dealt over ``rounds`` rounds."""
     noise = (class_counts + 1.0) / (class_counts + 1.0).sum()
 
-    for step in range(rounds):
+    for step in range(rounds * passes):
         begin = model.packed()
 
         def run(batches: Iterator[pa.RecordBatch], begin: bytes = begin, step: int = step) -> Iterator[pa.RecordBatch]:
@@ -241,7 +348,7 @@ def trained(rows: DataFrame, model: Model, class_counts: np.ndarray, rounds: int
             tokens = size = 0
 
             def learn() -> None:
-                v, u, w, _ = contexts(held)
+                v, u, w, _ = contexts(class_ids(held, classed))
                 keys, counts = np.unique((v.astype(np.int64) << 32) | (u.astype(np.int64) << 16) | w, return_counts=True)
                 triples = np.stack([keys >> 32, (keys >> 16) & 0xFFFF, keys & 0xFFFF], axis=1)
                 nce_steps(own, squares, triples, counts, noise, rng)
@@ -249,7 +356,7 @@ def trained(rows: DataFrame, model: Model, class_counts: np.ndarray, rounds: int
             for batch in batches:
                 for ids in batch.column(0):
                     held.append(ids.as_py())
-                    size += len(held[-1]) // 2
+                    size += len(held[-1]) // 4
                     if size >= TRIPLES:
                         learn()
                         tokens, size, held = tokens + size, 0, []
@@ -270,7 +377,7 @@ def trained(rows: DataFrame, model: Model, class_counts: np.ndarray, rounds: int
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([tokens])], ["block", "tokens"])
 
         schema = "block binary, tokens long"
-        turn = rows.where(F.pmod(F.col("row"), F.lit(rounds)) == step).select("ids")
+        turn = rows.where(F.pmod(F.col("row"), F.lit(rounds)) == step % rounds).select("ids")
         sums = turn.mapInArrow(run, schema).repartition(ADDERS).mapInArrow(add, schema).collect()  # at most ADDERS rows
         if sums:
             total = sum(np.frombuffer(bytes(x["block"]), np.float64) for x in sums)
@@ -309,20 +416,24 @@ def score_documents(
     counts = tables.save(word_counts(docs.where("NOT held_out")), "counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     vocabulary = most_frequent(counts, common)
-    heads = [w for w in vocabulary if w != END_WORD][: classes - 2]
-    classed = {END_WORD: END} | {w: i + 2 for i, w in enumerate(heads)}
-    ends = vocabulary.get(END_WORD)
+    ends = vocabulary.pop(END_WORD, None)
     if ends is None:
         ends = counts.where(F.col("word") == END_WORD).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shared = {w: (classed.get(w, RARE), c) for w, c in ({END_WORD: ends} | vocabulary).items()}
-    class_counts = np.zeros(len(heads) + 2, np.int64)
-    class_counts[END] = ends
-    class_counts[2:] = [vocabulary[w] for w in heads]
-    class_counts[RARE] = n - class_counts.sum()
-    rare_words = v - len(heads) - (ends > 0)
+    shared = {END_WORD: ends} | vocabulary
+    seen = np.array(list(shared.values()), np.int64)
+    heads = min(len(vocabulary), int(HEADS * (classes - 2)))
 
     rows = tables.save(encoded(docs, shared), "encoded")
-    model = trained(rows.where("NOT held_out"), start_model(class_counts), class_counts, ROUNDS)
+    train = rows.where("NOT held_out")
+    group = word_groups(word_traits(train, heads, len(shared)), seen[1 + heads :], classes - 2 - heads)
+    classed = np.concatenate([[END], 2 + np.arange(heads), 2 + heads + group, [RARE]]).astype("<u2")
+    class_counts = np.bincount(classed[:-1], seen, 2 + heads + int(group.max(initial=-1)) + 1).astype(np.int64)
+    rare_words = v - len(vocabulary) - (ends > 0)
+    class_counts[RARE] = n - class_counts.sum()
+    rare_total = float(class_counts[RARE] + rare_words + 1)
+    # log10 of a word's share of its class; a word of RARE gets log10(count + 1) from the join below
+    share = np.append(np.log10(np.maximum(seen, 1) / np.maximum(class_counts[classed[:-1]], 1)), -math.log10(rare_total))
+    model = trained(train, start_model(class_counts), class_counts, classed)
     shared_tables = spark.sparkContext.broadcast(score_tables(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,20 +441,20 @@ def score_documents(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            v, u, w, lengths = contexts(batch.column("ids").to_pylist())
-            logs = (near[u, w] + far[v, w] - norm[v, u]).astype(np.float64)
+            documents = batch.column("ids").to_pylist()
+            v, u, w, lengths = contexts(class_ids(documents, classed))
+            logs = (near[u, w] + far[v, w] - norm[v, u]).astype(np.float64) + share[np.frombuffer(b"".join(documents), "<u4")]
             value = np.add.reduceat(logs, np.cumsum(lengths) - lengths)
             kept = batch.drop_columns(["ids"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(value)], [*kept.schema.names, "neural"])
 
     known = rows.select("row", F.inline("others")).join(counts.withColumnRenamed("n", "c"), "word")
     known = known.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("o_logs"), F.sum("n").alias("o_known"))
-    plain = ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "rare_logs", "n_rare"]
+    plain = ["row", "doc_id", "held_out", "n_tokens", "known", "logs"]
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in plain) + ", neural double"
     scored = rows.select(*plain, "ids").mapInArrow(run, schema).join(known, "row", "left")
     o_logs = F.coalesce("o_logs", F.lit(0.0))
-    rare_total = float(class_counts[RARE] + rare_words + 1)
     return scored.select(
         "doc_id",
         "held_out",
@@ -351,5 +462,5 @@ def score_documents(
         (F.col("known") + F.coalesce("o_known", F.lit(0))).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
         (F.col("logs") + o_logs - F.col("n_tokens") * math.log10(n + v + 1)).alias("base_score"),
-        (F.col("neural") + F.col("rare_logs") + o_logs - F.col("n_rare") * math.log10(rare_total)).alias("score"),
+        (F.col("neural") + o_logs).alias("score"),
     )

@@ -284,6 +284,101 @@ def test_base_scores_equal_brute_force(spark, texts):
         assert all(r.score < 0 for r in got)
 
 
+def two_languages(rng, documents, words=60):
+    """Texts in one of two languages, which share no word."""
+    out = []
+    for _ in range(documents):
+        own = rng.choice("xy")
+        out.append(" ".join(f"{own}{int(rng.paretovariate(0.6)) % words}" for _ in range(rng.randrange(1, 60))))
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("common", [language_model.COMMON, 40])  # without and with words of the class RARE
+def test_scores_equal_brute_force(spark, texts, monkeypatch, common):
+    rows = [*two_languages(random.Random(8), 120), *ODD, (700, "x1 y1 unseen"), (701, "x1 " * 300)]
+    fitted = language_model.trained
+    seen = []
+
+    def kept(rows, model, class_counts, classed, *more):
+        seen.append((fitted(rows, model, class_counts, classed, *more), classed))
+        return seen[0][0]
+
+    monkeypatch.setattr(language_model, "trained", kept)
+    got = language_model.score_documents(spark, texts(*rows), classes=16, common=common).collect()
+    model, classed = seen[0]
+    counts = collections.Counter()
+    for i, t in rows:
+        counts.update([*language_model.words_of(t), b"\n"] if crc(i, 7) != 2 else [])
+    ordered = sorted(counts, key=lambda w: (-counts[w], w))
+    if len(ordered) > common:  # words about as frequent as the cut are all in or all out
+        ordered = ordered[: len(classed) - 2 + (b"\n" in ordered[: len(classed) - 1])]
+    place = {w: k for k, w in enumerate([b"\n", *(w for w in ordered if w != b"\n")])}
+    assert len(place) == len(classed) - 1
+    kind = collections.defaultdict(int, {w: int(classed[k]) for w, k in place.items()})
+    sizes = collections.Counter()
+    for w, c in counts.items():
+        sizes[kind[w]] += c
+    rare = [w for w in counts if w not in place]
+
+    def share(w):
+        if w in place:
+            return counts[w] / sizes[kind[w]]
+        return (counts[w] + 1) / (sizes[0] + len(rare) + 1)
+
+    for k in set(kind.values()):
+        assert math.isclose(sum(share(w) for w in counts if kind[w] == k) + (k == 0) * share(b"?"), 1)
+    q, c1, c2, r, b = (x.astype(float) for x in model)
+
+    def score(text):
+        total, v, u = 0.0, 1, 1
+        for w in [*language_model.words_of(text), b"\n"]:
+            z = (q[u] @ c1 + q[v] @ c2) @ r.T + b
+            total += (z[kind[w]] - np.log(np.exp(z).sum())) / math.log(10) + math.log10(share(w))
+            v, u = u, kind[w]
+        return total
+
+    expected = sorted((-1 if i is None else i, score(t)) for i, t in rows)
+    found = sorted((-1 if x.doc_id is None else x.doc_id, x.score) for x in got)
+    assert [i for i, _ in found] == [i for i, _ in expected]
+    assert np.allclose([x for _, x in found], [x for _, x in expected], rtol=1e-4)
+
+
+def test_word_traits_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "TOKENS", 7)  # long documents are looked at in parts
+    rng = np.random.default_rng(5)
+    documents = [rng.integers(0, 30, n) for n in (1, 2, 5, 40, 6, 7, 8, 0, 300)]
+    heads, common = 8, 28
+    rows = spark.createDataFrame([(bytearray(d.astype("<u4").tobytes()),) for d in documents], "ids binary").repartition(3)
+    got = language_model.word_traits(rows, heads, common)
+    alone = []  # traits of each head, from a document of it and one other word
+    for h in range(1, heads + 1):
+        one = spark.createDataFrame([(bytearray(np.array([h, common - 1], "<u4").tobytes()),)], "ids binary")
+        alone.append(language_model.word_traits(one, heads, common)[-1])
+    expected = np.zeros_like(got)
+    for d in documents:
+        for i, w in enumerate(d):
+            if heads < w < common:
+                for j in range(max(0, i - language_model.REACH), min(len(d), i + language_model.REACH + 1)):
+                    if j != i and 1 <= d[j] <= heads:
+                        expected[w - heads - 1] += alone[d[j] - 1]
+    assert np.array_equal(got, expected)
+    assert language_model.word_traits(rows, 8, 9).shape[0] == 0
+
+
+def test_words_that_share_no_head_share_no_class():
+    traits = np.array([[5.0, 0, 1], [0, 4, 1], [9, 0, 2], [0, 7, 2], [3, 0, 1]])
+    group = language_model.word_groups(traits, np.array([9, 8, 3, 2, 1]), 2)
+    assert list(group) == [0, 1, 0, 1, 0]
+    assert len(language_model.word_groups(np.zeros((0, 3)), np.zeros(0), 4)) == 0
+
+
+def test_held_out_texts_score_better_than_by_unigrams(spark, texts):
+    rows = two_languages(random.Random(3), 6000, words=400)
+    got = language_model.score_documents(spark, texts(*rows), classes=32).where("held_out").collect()
+    tokens = sum(r.n_tokens for r in got)
+    assert sum(r.score - r.base_score for r in got) / tokens > 0.1  # a language known is worth up to log10(2) = 0.3
+
+
 def test_model_is_normalised_and_learns():
     rng = np.random.default_rng(0)
     counts = np.array([50, 10, 30, 30, 30])
