@@ -68,7 +68,7 @@ LEAST_BATCH = 64
 BATCH = 4096
 RATE = 0.1
 ROUNDS = 2
-PASSES = 3
+PASSES = 2
 #: Distinct words that a task counts before it hands counts on; distinct triples that a task trains on at a time.
 FLUSH = 500_000
 TRIPLES = 4_000_000
@@ -303,7 +303,7 @@ def nce_steps(model: Model, squares: Model, triples: np.ndarray, counts: np.ndar
     size = min(BATCH, max(LEAST_BATCH, len(order) // 64))
     for begin in range(0, len(order), size):
         part = order[begin : begin + size]
-        v, u, w = triples[part].T
+        v, u, w = triples[part].T.astype(np.uint16)
         weight = (counts[part] / counts[part].sum()).astype(np.float32)
         s = rng.choice(k, NOISE, p=noise)
         qu, qv = model.q[u], model.q[v]
@@ -350,7 +350,7 @@ def trained(
             def learn() -> None:
                 v, u, w, _ = contexts(class_ids(held, classed))
                 keys, counts = np.unique((v.astype(np.int64) << 32) | (u.astype(np.int64) << 16) | w, return_counts=True)
-                triples = np.stack([keys >> 32, (keys >> 16) & 0xFFFF, keys & 0xFFFF], axis=1)
+                triples = np.stack([keys >> 32, (keys >> 16) & 0xFFFF, keys & 0xFFFF], axis=1).astype(np.uint16)
                 nce_steps(own, squares, triples, counts, noise, rng)
 
             for batch in batches:
