@@ -48,8 +48,8 @@ RULES = (
 #: Limit on the false rejections of all rules together, and the probability that the limit is broken anywhere.
 LIMIT = 0.05
 ERROR = 0.05
-#: Terms of a binomial tail that are summed, from the largest down; a tail that needs more is far above any level.
-TAIL_TERMS = 20_000
+#: A caller may refuse tails of more terms than this; as given, every tail is summed, however many trials there are.
+TAIL_TERMS: int | None = None
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -155,7 +155,12 @@ def log_gamma(x: Column) -> Column:
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """P(Bin(n, p) <= k), summed from its largest term down. 1 where k is above the mean, or has more terms than are summed: no test passes there."""
+    """P(Bin(n, p) <= k), summed from its largest term down. 1 where k is above the mean: no test passes there.
+
+    Up to the mean each term is at most (1 - j / np) of the one before, where j terms lie between it and the largest.
+    So j terms below the largest one is at most exp(-j (j - 1) / 2np) of it, which is exp(-50) at j = 10 sqrt(np) + 1:
+    what lies beyond is lost in the rounding of the sum, whether it is added or not, and the sum takes some sqrt(n) terms.
+    """
     k, n = k.cast("double"), n.cast("double")
     top = (
         log_gamma(n + 1.0)
@@ -164,15 +169,17 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
         + k * math.log(p)
         + (n - k) * math.log1p(-p)
     )
+    last = F.least(k, F.ceil(10 * F.sqrt(n * p)) + 10).cast("int")
     total = F.aggregate(
-        F.sequence(F.lit(0), F.least(k, F.lit(float(TAIL_TERMS))).cast("int")),
+        F.sequence(F.lit(0), last),
         F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum")),
         lambda a, j: F.struct(
             (a["term"] * (k - j) / (n - k + j + 1.0) * ((1 - p) / p)).alias("term"), (a["sum"] + a["term"]).alias("sum")
         ),
         lambda a: a["sum"],
     )
-    return F.when((k > n * p) | (k > TAIL_TERMS), F.lit(1.0)).otherwise(F.exp(top) * total)
+    beyond = k > n * p if TAIL_TERMS is None else (k > n * p) | (k > TAIL_TERMS)
+    return F.when(beyond, F.lit(1.0)).otherwise(F.exp(top) * total)
 
 
 def certified_cutoffs(

@@ -56,6 +56,20 @@ def test_binomial_tail(spark, k, n, p):
     assert got == pytest.approx(exact, rel=1e-8)
 
 
+@pytest.mark.parametrize(("k", "n"), [(19_000, 2_000_000), (29_600, 3_000_000), (99_000, 10_000_000)])
+def test_binomial_tail_of_many_trials(spark, k, n):
+    from math import exp, fsum, lgamma, log, log1p
+
+    p = 0.01
+    largest = exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(p) + (n - k) * log1p(-p))
+    terms = [1.0]
+    for j in range(k):  # all of them, without a bound
+        terms.append(terms[-1] * (k - j) / (n - k + j + 1) * ((1 - p) / p))
+    got = spark.range(1).select(quality_rules.binomial_tail(F.lit(k), F.lit(n), p)).first()[0]
+    assert 0 < got < 0.02
+    assert got == pytest.approx(largest * fsum(terms), rel=1e-6)
+
+
 def test_cutoffs_keep_their_limit(spark, texts):
     rng = random.Random(2)
     prose = lambda: " ".join(rng.choice("abcdefgh") * rng.randrange(3, 8) + str(rng.random())[2:5] for _ in range(60))
