@@ -24,6 +24,7 @@ import zlib
 from bisect import bisect_left
 from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,19 @@ class Encoder:
         self.ids = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.counts = np.empty(0, np.int64)
+        self.again = np.empty(0, bool)
+
+    def _forget(self) -> None:
+        """Keep the parts that were met again after they were learned; all go where that would free less than half."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > CACHE // 2:
+            return self.reset()
+        parts = list(self.known)
+        counts = self.counts[kept]
+        starts = np.cumsum(counts) - counts
+        self.ids = self.ids[np.repeat(self.starts[kept] - starts, counts) + np.arange(counts.sum())]
+        self.starts, self.counts, self.again = starts, counts, np.zeros(len(kept), bool)
+        self.known = {parts[i]: k for k, i in enumerate(kept.tolist())}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
@@ -89,6 +103,7 @@ class Encoder:
         first = np.concatenate([[0], last[:-1]])
         self.starts = np.concatenate([self.starts, first + len(self.ids)])
         self.counts = np.concatenate([self.counts, last - first])
+        self.again = np.concatenate([self.again, np.zeros(len(parts), bool)])
         self.ids = flat
         self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
 
@@ -97,7 +112,7 @@ class Encoder:
         parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         offsets = parts.offsets.to_numpy()
         distinct = parts.flatten().dictionary_encode()
-        words = distinct.dictionary.to_pylist()
+        words = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
         index = distinct.indices.to_numpy(zero_copy_only=False)
         odd_word = np.array([not w or w[0].isspace() for w in words], bool)
         first = np.zeros(len(index), bool)
@@ -108,11 +123,13 @@ class Encoder:
         used = np.zeros(len(words), bool)
         used[index[~first & np.repeat(plain, np.diff(offsets))]] = True
         if len(self.known) > CACHE:
-            self.reset()
-        new = [w for w, u in zip(words, used, strict=True) if u and w not in self.known]
-        if new:
-            self._learn(new)
-        place = np.array([self.known[w] if u else -1 for w, u in zip(words, used, strict=True)], np.int64)
+            self._forget()
+        place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        self.again[place[used & (place >= 0)]] = True
+        new = np.flatnonzero(used & (place < 0))
+        if len(new):
+            place[new] = len(self.known) + np.arange(len(new))
+            self._learn([words[i] for i in new.tolist()])
 
         # first parts have no space before them, odd texts are whole: these are encoded by themselves
         heads = self.whole([words[index[o]] if p else t for o, p, t in zip(offsets[:-1], plain, texts, strict=True)])

@@ -365,3 +365,19 @@ def test_pieces_cover_every_id_once(spark, texts):
         padding += 0 if n & (n - 1) == 0 else 2048 - n
     assert padding < 0.05 * used
     assert packing.pack(texts(*rows).where("false"), path).count() == 0
+
+
+def test_parts_met_again_are_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 40)
+    encoder = packing.Encoder(tokenizer_path("byte_bpe_50k.json"))
+    learned = collections.Counter()
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda parts: learned.update(parts) or learn(parts))
+    rng = random.Random(5)
+    for k in range(30):
+        texts = ["a " + " ".join(["often", "always,", *(f"w{rng.random()}" for _ in range(7))]), "", f"x{k} often é\nz  y"]
+        ids, counts = encoder.encode(texts)
+        whole = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, packing.END] for t in texts]
+        assert ids.tolist() == sum(whole, []) and counts.tolist() == [len(w) for w in whole]
+        assert len(encoder.known) <= 40 + 20  # bounded: the most it holds, and the parts of one call
+    assert learned["often"] == learned["always,"] == 1
