@@ -164,3 +164,10 @@ def test_many_copies_reach_the_shuffle_once_per_task(spark, tmp_path):
     assert silver.count() == 1
     report = checks.duplicates_report(spark.read.parquet(f"{tmp_path}/b"))
     assert tuple(report.first()) == ("registros_a", 50000, 49999, 1)
+
+
+def test_order_lines_are_shuffled_before_they_get_wide(spark):
+    """Orders with their customers join last: nothing that has a customer's texts is shuffled for parts or sellers."""
+    with session_conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        joins = re.findall(r"SortMergeJoin \[(\w+)#", plan(raw_sales(spark, SF_DIR)))
+    assert joins[:3] == ["l_orderkey", "l_suppkey", "l_partkey"]  # from the last one down
