@@ -171,3 +171,34 @@ def test_order_lines_are_shuffled_before_they_get_wide(spark):
     with session_conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         joins = re.findall(r"SortMergeJoin \[(\w+)#", plan(raw_sales(spark, SF_DIR)))
     assert joins[:3] == ["l_orderkey", "l_suppkey", "l_partkey"]  # from the last one down
+
+
+def test_few_partitions_are_written_without_a_sort(spark, tmp_path):
+    """Gold rows come gathered; Spark's own sort of them spilled. Written files are of the smaller codec."""
+    from retalake import session
+
+    write_silver(to_silver(bronze(spark, sale(), sale(nome="Bia"))), f"{tmp_path}/silver")
+    seen = []
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with session.open_partitions(spark):
+        seen.append(int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+    assert seen[0] > 7 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    write_gold(to_gold(read_silver(spark, f"{tmp_path}/silver")), f"{tmp_path}/gold")
+    files = read_gold(spark, f"{tmp_path}/gold").inputFiles() + read_silver(spark, f"{tmp_path}/silver").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_shuffles_of_a_layer_are_gone_after_it_is_written(spark, tmp_path):
+    import time
+
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    before = shuffles()
+    write_silver(to_silver(bronze(spark, sale(), sale(nome="Bia"))), f"{tmp_path}/silver")
+    end = time.time() + 20
+    while shuffles() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffles() - before
