@@ -173,6 +173,22 @@ def test_order_lines_are_shuffled_before_they_get_wide(spark):
     assert joins[:3] == ["l_orderkey", "l_suppkey", "l_partkey"]  # from the last one down
 
 
+def test_contacts_are_looked_up_by_hash(spark, gold, monkeypatch):
+    from retalake.operators import star
+
+    with Scratch(spark) as scratch, session_conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        sales = scratch.save(gold, "gold-by-hash")
+        dims = written_dims(sales, scratch)
+        whole = build_fact(sales, dims).drop("venda_id")
+        assert "SortMergeJoin [coalesce(nome_completo" in plan(whole)
+        hashed = build_fact(sales, dims, complete=True).drop("venda_id")
+        assert "nome_completo" not in "".join(re.findall(r"SortMergeJoin.*", plan(hashed)))
+        assert hashed.exceptAll(whole).isEmpty() and whole.exceptAll(hashed).isEmpty()
+        # where two keys share a hash, whole keys are compared
+        monkeypatch.setattr(star, "hash_id", lambda columns: F.lit(1).cast("long"))
+        assert "SortMergeJoin [coalesce(nome_completo" in plan(build_fact(sales, dims, complete=True))
+
+
 def test_few_partitions_are_written_without_a_sort(spark, tmp_path):
     """Gold rows come gathered; Spark's own sort of them spilled. Written files are of the smaller codec."""
     from retalake import session
