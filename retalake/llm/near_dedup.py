@@ -9,9 +9,11 @@
    the bands, so dense groups mostly merge here, and the number of comparisons
    is linear.
 5. Buckets whose classes are then still in different components are compared
-   completely, except inside a component, over a finer sketch of 4096 minima,
+   completely, except inside a component, over a finer sketch of 5120 minima,
    and each pair only in the first band that it shares. Large buckets are cut
-   into blocks that different tasks compare.
+   into blocks that different tasks compare. A fine sketch travels once for
+   each bucket and block, so it keeps two mixed bits of a minimum: these tell
+   about as much as four times the bytes do with a byte of 4096 minima.
 6. A fine sketch rules a pair out when it lies six standard deviations under
    the threshold; every other pair is decided on full sets.
 7. Components by large-star and small-star; the smallest id names each.
@@ -34,11 +36,12 @@ from pyspark.sql import functions as F
 
 from retalake.llm.common import counted_broadcast, fresh, giving_back, join_rows, scratch
 from retalake.llm.components import connected_components
-from retalake.session import Scratch
+from retalake.session import Scratch, release_shuffles
 
 ROWS = 4
 BANDS = 32  # at most 64: their number takes the low bits of a bucket
-FINE = 4096
+#: Minima of a fine sketch, of which two bits each are kept.
+FINE = 5120
 #: Classes of one bucket that one task compares with each other.
 BLOCK = 1024
 #: Known word hashes that a worker keeps, texts that it turns into sets before it hands on what it made of them, and
@@ -83,13 +86,36 @@ def hash_functions(count: int) -> tuple[np.ndarray, np.ndarray]:
     return a[:, None], rng.integers(0, 2**32, count, dtype=np.uint32)[:, None]
 
 
-def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def least_hashes(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     low = np.full(len(a), 0xFFFFFFFF, np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     step = max(1, PRODUCTS // len(a))  # bounded memory for long texts
     for k in range(0, len(x), step):
         np.minimum(low, (x[None, k : k + step] * a + b).min(axis=1), out=low)
-    return (low & np.uint32(0xFFFF)).astype("<u2")
+    return low
+
+
+def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (least_hashes(shingles, a, b) & np.uint32(0xFFFF)).astype("<u2")
+
+
+def fine_sketch(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> bytes:
+    """Two bits of each minimum, first one of all, then the other.
+
+    The low bits of a product tell only the low bits of its factors, so the minima are mixed before.
+    """
+    low = least_hashes(shingles, a, b)
+    with np.errstate(over="ignore"):
+        for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+            low = (low ^ (low >> np.uint32(shift))) * np.uint32(factor)
+    return np.packbits(np.stack([low >> np.uint32(31), (low >> np.uint32(30)) & np.uint32(1)]).astype(np.uint8)).tobytes()
+
+
+def agreeing(sketches: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Minima in which each of the fine ``sketches`` (rows of 64-bit words) agrees with the ``other`` one in both bits."""
+    half = sketches.shape[1] // 2
+    differ = sketches ^ other
+    return half * 64 - np.bitwise_count(differ[:, :half] | differ[:, half:]).sum(axis=1, dtype=np.int64)
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +210,7 @@ def bucket_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
             if len(j):
                 j = j[(words[j] == words[i]).argmax(axis=1) == band]
             if len(j):
-                j = j[(fine[j] == fine[i]).sum(axis=1) >= least]
+                j = j[agreeing(fine[j], fine[i]) >= least]
             if len(j):
                 out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
 
@@ -211,7 +237,7 @@ def bucket_pairs(members: DataFrame, least: int, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
-            for k, kind in (("sketch", "<u2"), ("fine", "u1")):
+            for k, kind in (("sketch", "<u2"), ("fine", "<u8")):
                 rows[k] = np.frombuffer(b"".join(batch.column(k).to_pylist()), kind).reshape(batch.num_rows, -1)
             if held:
                 rows = {k: np.concatenate([held[k], v]) for k, v in rows.items()}
@@ -263,11 +289,12 @@ def near_duplicates(
     placed = members.where("size > 2").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = placed.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
     placed = tables.save(placed.join(split.select("bucket"), "bucket", "left_semi"), "placed")
+    release_shuffles(spark)  # of the steps above, before the largest one
     a, b = hash_functions(FINE)
     fine = chosen_texts(
         docs,
         placed.select(F.col("node").alias("doc_id")),
-        lambda t: minima(shingle_set(t, size), a, b).astype("u1").tobytes(),
+        lambda t: fine_sketch(shingle_set(t, size), a, b),
         tables,
         "fine",
     ).withColumnRenamed("made", "fine")
@@ -278,7 +305,7 @@ def near_duplicates(
     lo, hi = F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
     placed = placed.select("bucket", lo, hi, "own", "node", "component", "n", "sketch", "fine")
     grouped = placed.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    rest = tables.save(bucket_pairs(grouped, least_agreeing(FINE, percent, 8), percent).distinct(), "rest")
+    rest = tables.save(bucket_pairs(grouped, least_agreeing(FINE, percent, 2), percent).distinct(), "rest")
     late = verified(docs, rest, size, percent, tables, "rest")
 
     # the rest links whole components of the first round

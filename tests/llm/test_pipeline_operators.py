@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
@@ -172,6 +173,30 @@ def test_dense_group_in_blocks(spark, texts, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 3, 85)
 
 
+def test_fine_sketches_are_short_and_tell_the_similarity(spark, texts, monkeypatch):
+    travelled = []
+    pairs = near_dedup.bucket_pairs
+
+    def seen(members, least, percent):
+        travelled.extend(len(r["fine"]) for r in members.select("fine").collect())
+        return pairs(members, least, percent)
+
+    monkeypatch.setattr(near_dedup, "bucket_pairs", seen)
+    rng = random.Random(5)
+    copies = [" ".join(f"x{rng.randrange(1000)}" if rng.random() < 0.06 else f"w{i}" for i in range(80)) for _ in range(60)]
+    got = near_dedup.near_duplicates(spark, texts(*enumerate(copies))).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(list(enumerate(copies)), 3, 85)
+    assert travelled and max(travelled) <= 1500  # a row for each bucket and block carries one
+
+    a, b = near_dedup.hash_functions(near_dedup.FINE)
+    for shared in (300, 170, 20, 0):  # of 300 + 300 shingles
+        sets = np.random.default_rng(shared).integers(0, 2**64, 600, dtype=np.uint64)
+        x, y = (np.frombuffer(near_dedup.fine_sketch(s, a, b), "<u8") for s in (sets[:300], sets[300 - shared : 600 - shared]))
+        jaccard = shared / (600 - shared)
+        expected = near_dedup.FINE * (jaccard + (1 - jaccard) / 4)
+        assert abs(near_dedup.agreeing(np.stack([y]), x)[0] - expected) < 250
+
+
 def test_texts_are_chosen_exactly_and_without_the_driver(spark, texts, monkeypatch):
     docs = texts(*[(i, f"text {i}") for i in range(300)], (7, "again"), (None, "none"))
     nodes = spark.createDataFrame([(i,) for i in (7, 7, 250, 999, None)], "doc_id long")
