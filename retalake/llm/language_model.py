@@ -35,13 +35,12 @@ meet the documents in a shuffled join. No word there is frequent.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +70,8 @@ ROUNDS = 2
 PASSES = 2
 #: Distinct words that a task counts before it hands counts on; distinct triples that a task trains on at a time.
 FLUSH = 500_000
+#: Bytes of text that are cut into words together.
+CHARS = 4_000_000
 TRIPLES = 4_000_000
 #: Tasks that add up parameters before the driver does.
 ADDERS = 8
@@ -95,25 +96,54 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about CHARS bytes of text, a longer document alone; null texts are empty."""
+    place = batch.schema.get_field_index("text")
+    batch = batch.set_column(place, "text", pc.fill_null(batch.column(place), ""))
+    before = np.cumsum(pc.binary_length(batch.column(place)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < batch.num_rows:
+        passed = before[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(before, passed + CHARS, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def split_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, one after the other, as ``words_of`` gives them, and how many each text has."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = parts.flatten()
+    real = pc.greater(pc.binary_length(words), 0)  # blanks at an end leave an empty part there
+    passed = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    ends = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    return words.filter(real).cast(pa.binary()), np.diff(passed[ends], prepend=0)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n): tokens per word over the documents; END_WORD once per document."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def handed(counts: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
-            )
+    def summed_up(counted: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(counted).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return sums.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
-        counts: Counter = Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted: list[pa.Table] = []
+        held = 0
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(words_of(text.as_py()))
-                if len(counts) > FLUSH:
-                    yield handed(counts)
-                    counts.clear()
-            counts[END_WORD] += batch.num_rows
-        if counts:
-            yield handed(counts)
+            for part in parts_of(batch):
+                words = split_texts(part.column("text"))[0].dictionary_encode()
+                n = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+                counted.append(pa.table({"word": words.dictionary, "n": pa.array(n, pa.int64())}))
+                counted.append(pa.table({"word": pa.array([END_WORD], pa.binary()), "n": pa.array([part.num_rows], pa.int64())}))
+                held += len(n)
+                if held > FLUSH:
+                    counted = [summed_up(counted)]
+                    held = counted[0].num_rows
+                    if 2 * held > FLUSH:
+                        yield from counted[0].to_batches()
+                        counted, held = [], 0
+        if counted:
+            yield from summed_up(counted).to_batches()
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -142,30 +172,49 @@ def encoded(docs: DataFrame, common: dict[bytes, int]) -> DataFrame:
     not common, with their number)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {w: i for i, w in enumerate(common)}
+        shared = pa.array(list(common), pa.binary())
         seen = np.array([*common.values(), 0], np.int64)
         logs = np.log10(seen + 1.0)
-        other = len(common)
+        other, end = len(common), list(common).index(END_WORD)
         row = TaskContext.get().partitionId() << 33
+
+        def rare(words: pa.Array, document: np.ndarray, n_documents: int) -> pa.Array:
+            """Per document a list of its distinct ``words`` with their number."""
+            named = words.dictionary_encode()
+            size = max(1, len(named.dictionary))
+            keys, n = np.unique(document * size + named.indices.to_numpy(), return_counts=True)
+            pairs = pa.StructArray.from_arrays([named.dictionary.take(pa.array(keys % size)), pa.array(n, pa.int64())], ["word", "n"])
+            return pa.ListArray.from_arrays(np.searchsorted(keys, np.arange(n_documents + 1) * size).astype(np.int32), pairs)
+
         for batch in batches:
-            out: list[tuple] = []
-            for text in batch.column("text"):
-                words = words_of(text.as_py())
-                at = np.array([place.get(w, other) for w in words] + [place[END_WORD]], np.int64)
-                missing = at == other
-                rare = Counter(compress(words, missing[:-1])) if missing.any() else {}
-                known, total = int((seen[at] > 0).sum()), float(logs[at].sum())
-                out.append((row, len(at), known, total, at.astype("<u4").tobytes(), list(rare.items())))
-                row += 1
-            columns = list(zip(*out, strict=True)) if out else [()] * 6
-            types = [pa.int64()] * 3 + [pa.float64(), pa.binary()]
-            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
-            pair = pa.struct([("word", pa.binary()), ("n", pa.int64())])
-            others = [[{"word": w, "n": n} for w, n in items] for items in columns[5]]
-            yield pa.RecordBatch.from_arrays(
-                [arrays[0], batch.column("doc_id"), batch.column("held_out"), *arrays[1:], pa.array(others, pa.list_(pair))],
-                ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "ids", "others"],
-            )
+            for part in parts_of(batch):
+                words, n_words = split_texts(part.column("text"))
+                place = pc.index_in(words, value_set=shared)
+                document = np.repeat(np.arange(part.num_rows), n_words)
+                at = np.full(len(words) + part.num_rows, end, np.int64)  # a document's words, then its end
+                at[np.arange(len(words)) + document] = pc.fill_null(place, other).to_numpy()
+                ends = np.cumsum(n_words + 1)
+                known = np.add.reduceat((seen[at] > 0).astype(np.int64), ends - n_words - 1)
+                log = logs[at]
+                total = [float(log[e - n - 1 : e].sum()) for e, n in zip(ends.tolist(), n_words.tolist(), strict=True)]
+                missing = place.is_null()
+                others = rare(words.filter(missing), document[missing.to_numpy(zero_copy_only=False)], part.num_rows)
+                offsets = np.concatenate([[0], 4 * ends]).astype(np.int32)
+                ids = [None, pa.py_buffer(offsets), pa.py_buffer(at.astype("<u4"))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(row + np.arange(part.num_rows)),
+                        part.column("doc_id"),
+                        part.column("held_out"),
+                        pa.array(n_words + 1),
+                        pa.array(known),
+                        pa.array(total),
+                        pa.Array.from_buffers(pa.binary(), part.num_rows, ids),
+                        others,
+                    ],
+                    ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "ids", "others"],
+                )
+                row += part.num_rows
 
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, ids binary, "
@@ -174,15 +223,16 @@ def encoded(docs: DataFrame, common: dict[bytes, int]) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def neighbours(ids: np.ndarray, lengths: np.ndarray, traits: np.ndarray) -> np.ndarray:
-    """Per token, the sum of the ``traits`` of the tokens within REACH in its document; the last row of them is zero."""
-    document = np.repeat(np.arange(len(lengths)), lengths)
-    own = traits[np.minimum(ids, len(traits) - 1)]
-    out = np.zeros_like(own)
-    for k in range(1, REACH + 1):
-        same = (document[k:] == document[:-k])[:, None]
-        out[k:] += own[:-k] * same
-        out[:-k] += own[k:] * same
+def neighbours(ids: np.ndarray, lengths: np.ndarray, traits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each token ``at``, the sum of the ``traits`` of those within REACH in its document; their last row is zero."""
+    none = len(traits) - 1
+    document = np.pad(np.repeat(np.arange(len(lengths)), lengths), REACH, constant_values=-1)
+    near = np.pad(np.minimum(ids, none), REACH, constant_values=none)
+    out = np.zeros((len(at), traits.shape[1]), traits.dtype)
+    own = document[at + REACH]
+    for k in range(2 * REACH + 1):
+        if k != REACH:
+            out += traits.take(np.where(document[at + k] == own, near[at + k], none), axis=0)
     return out
 
 
@@ -204,13 +254,13 @@ def word_traits(rows: DataFrame, heads: int, common: int) -> np.ndarray:
 
         def add(held: list[np.ndarray], counted: list[np.ndarray]) -> None:
             ids = np.concatenate(held)
-            found = neighbours(ids, np.array([len(x) for x in held]), traits)
             at = np.flatnonzero((ids >= first) & (ids < common) & np.concatenate(counted))
             at = at[np.argsort(ids[at], kind="stable")]
             if len(at):
+                found = neighbours(ids, np.array([len(x) for x in held]), traits, at)
                 words = ids[at].astype(np.int64) - first
                 starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-                total[words[starts]] += np.add.reduceat(found[at], starts)
+                total[words[starts]] += np.add.reduceat(found, starts)
 
         held: list[np.ndarray] = []
         counted: list[np.ndarray] = []
@@ -287,12 +337,9 @@ def contexts(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 def summed(rows: np.ndarray, index: np.ndarray, size: int) -> np.ndarray:
     """Sum of the rows of each index."""
-    order = np.argsort(index, kind="stable")
-    ordered = index[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    out = np.zeros((size, rows.shape[1]), np.float32)
-    out[ordered[first]] = np.add.reduceat(rows[order], first)
-    return out
+    index = index.astype(np.intp)
+    columns = np.ascontiguousarray(rows.T, np.float64)  # a column at a time stays in the cache
+    return np.stack([np.bincount(index, c, size) for c in columns], axis=1).astype(np.float32)
 
 
 def nce_steps(model: Model, squares: Model, triples: np.ndarray, counts: np.ndarray, noise: np.ndarray, rng) -> None:
@@ -303,21 +350,24 @@ def nce_steps(model: Model, squares: Model, triples: np.ndarray, counts: np.ndar
     size = min(BATCH, max(LEAST_BATCH, len(order) // 64))
     for begin in range(0, len(order), size):
         part = order[begin : begin + size]
-        v, u, w = triples[part].T.astype(np.uint16)
+        v, u, w = np.ascontiguousarray(triples.take(part, axis=0).T)
         weight = (counts[part] / counts[part].sum()).astype(np.float32)
         s = rng.choice(k, NOISE, p=noise)
-        qu, qv = model.q[u], model.q[v]
+        qu, qv, rw, rs = model.q.take(u, axis=0), model.q.take(v, axis=0), model.r.take(w, axis=0), model.r[s]
         context = qu @ model.c1 + qv @ model.c2
-        good = (context * model.r[w]).sum(axis=1) + model.b[w] - log_noise[w]
-        bad = context @ model.r[s].T + model.b[s] - log_noise[s]
+        good = np.einsum("ij,ij->i", context, rw) + (model.b - log_noise)[w]
         up = (1 / (1 + np.exp(np.clip(good, -30, 30)))) * weight  # pulls the true word up
-        down = (1 / (1 + np.exp(np.clip(-bad, -30, 30)))) * weight[:, None]  # pushes noise words down
-        d_context = up[:, None] * model.r[w] - down @ model.r[s]
+        down = (log_noise - model.b)[s] - context @ rs.T
+        np.clip(down, -30, 30, out=down)
+        np.exp(down, out=down)
+        down += 1
+        np.divide(weight[:, None], down, out=down)  # pushes noise words down
+        d_context = up[:, None] * rw - down @ rs
         d_r = summed(up[:, None] * context, w, k)
         np.subtract.at(d_r, s, down.T @ context)
         d_b = np.bincount(w, up, k).astype(np.float32)
         np.subtract.at(d_b, s, down.sum(axis=0))
-        d_q = summed(d_context @ model.c1.T, u, k) + summed(d_context @ model.c2.T, v, k)
+        d_q = summed(d_context, u, k) @ model.c1.T + summed(d_context, v, k) @ model.c2.T
         for x, g, total in zip(model, (d_q, qu.T @ d_context, qv.T @ d_context, d_r, d_b), squares, strict=True):
             total += g * g
             x += RATE * g / (np.sqrt(total) + 1e-6)

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from retalake.llm import html_text, language_model, license_scan, quality_classifier, toxicity
@@ -403,3 +404,23 @@ def test_empty_tables(spark, texts):
     held = next(i for i in range(100) if crc(i, 7) == 2)
     only = language_model.score_documents(spark, texts((held, "a b"))).first()
     assert (only.n_tokens, only.n_known, only.train_tokens, only.base_score) == (3, 0, 0, 0.0)
+
+
+def test_texts_are_cut_into_words_together(monkeypatch):
+    monkeypatch.setattr(language_model, "CHARS", 30)
+    rows = [" A  bÉ\tc ", "", None, "\n\x0b\x0c\r", "x" * 100 + " y", "É x y Zé\x1cq", "a"]
+    texts = pa.array(rows * 3, pa.string())
+    parts = list(language_model.parts_of(pa.RecordBatch.from_arrays([texts, pa.array(range(21))], ["text", "i"])))
+    assert len(parts) > 3 and [i for p in parts for i in p.column("i").to_pylist()] == list(range(21))
+    words, n = zip(*[language_model.split_texts(p.column("text")) for p in parts], strict=True)
+    cut = [w for part in words for w in part.to_pylist()]
+    assert cut == [w for t in texts.to_pylist() for w in language_model.words_of(t)]
+    assert np.concatenate(n).tolist() == [len(language_model.words_of(t)) for t in texts.to_pylist()]
+
+
+def test_neighbours_are_summed_for_the_chosen_tokens_alone():
+    ids, lengths = np.array([0, 1, 9, 1, 2, 0, 1, 5]), np.array([3, 0, 4, 1])
+    traits = np.array([[1, 10], [2, 20], [4, 40], [0, 0]], np.int32)
+    got = language_model.neighbours(ids, lengths, traits, np.array([0, 2, 4, 7]))
+    assert got[:, 0].tolist() == [2, 3, 5, 0]
+    assert np.array_equal(got[:, 1], 10 * got[:, 0])
