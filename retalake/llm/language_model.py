@@ -337,9 +337,12 @@ def contexts(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 def summed(rows: np.ndarray, index: np.ndarray, size: int) -> np.ndarray:
     """Sum of the rows of each index."""
-    index = index.astype(np.intp)
-    columns = np.ascontiguousarray(rows.T, np.float64)  # a column at a time stays in the cache
-    return np.stack([np.bincount(index, c, size) for c in columns], axis=1).astype(np.float32)
+    order = np.argsort(index, kind="stable")
+    ordered = index.take(order)
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    out = np.zeros((size, rows.shape[1]), np.float32)
+    out[ordered.take(first)] = np.add.reduceat(rows.take(order, axis=0), first)
+    return out
 
 
 def nce_steps(model: Model, squares: Model, triples: np.ndarray, counts: np.ndarray, noise: np.ndarray, rng) -> None:
@@ -355,19 +358,23 @@ def nce_steps(model: Model, squares: Model, triples: np.ndarray, counts: np.ndar
         s = rng.choice(k, NOISE, p=noise)
         qu, qv, rw, rs = model.q.take(u, axis=0), model.q.take(v, axis=0), model.r.take(w, axis=0), model.r[s]
         context = qu @ model.c1 + qv @ model.c2
-        good = np.einsum("ij,ij->i", context, rw) + (model.b - log_noise)[w]
+        good = (context * rw).sum(axis=1) + model.b[w] - log_noise[w]
         up = (1 / (1 + np.exp(np.clip(good, -30, 30)))) * weight  # pulls the true word up
-        down = (log_noise - model.b)[s] - context @ rs.T
+        down = context @ rs.T
+        down += model.b[s]
+        down -= log_noise[s]
+        np.negative(down, out=down)
         np.clip(down, -30, 30, out=down)
         np.exp(down, out=down)
         down += 1
-        np.divide(weight[:, None], down, out=down)  # pushes noise words down
+        np.divide(1, down, out=down)
+        down *= weight[:, None]  # pushes noise words down
         d_context = up[:, None] * rw - down @ rs
         d_r = summed(up[:, None] * context, w, k)
         np.subtract.at(d_r, s, down.T @ context)
         d_b = np.bincount(w, up, k).astype(np.float32)
         np.subtract.at(d_b, s, down.sum(axis=0))
-        d_q = summed(d_context, u, k) @ model.c1.T + summed(d_context, v, k) @ model.c2.T
+        d_q = summed(d_context @ model.c1.T, u, k) + summed(d_context @ model.c2.T, v, k)
         for x, g, total in zip(model, (d_q, qu.T @ d_context, qv.T @ d_context, d_r, d_b), squares, strict=True):
             total += g * g
             x += RATE * g / (np.sqrt(total) + 1e-6)
