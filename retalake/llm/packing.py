@@ -15,16 +15,23 @@ padding, where that costs less than filling it up.
 Tokenizing dominates. Texts are split where a single space precedes a word,
 which is always a border between the tokenizer's own units, and each distinct
 part is encoded once per task. Texts with other runs of blanks are encoded whole.
+Parts that are new are split into the tokenizer's units (a word, a number, a run
+of signs or of blanks), and of these, each distinct one is encoded by the
+tokenizer's model; parts with rare characters, or where an apostrophe may open
+a unit, go through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from bisect import bisect_left
 from collections import deque
 from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import repeat
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +39,10 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from retalake.llm.common import giving_back
+from retalake.llm.common import BLANKS, giving_back
+
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
 
 SIZE = 2048
 END = 1
@@ -44,10 +54,55 @@ STRETCH = 64
 #: Tokens that are cut into sequences at a time, and bytes of text that are encoded at a time.
 SEGMENT = 200_000
 CHARS = 500_000
+#: Blocks of so much text whose parts are looked up at a time.
+LOOKED_UP = 4
 #: Texts that the tokenizer gets at a time; its own records of a text are far larger than the ids.
 AT_A_TIME = 16
 #: Distinct parts whose ids a task remembers; only speed depends on it.
-CACHE = 250_000
+CACHE = 150_000
+#: First characters of parts that are no words after a space: none, or a blank of any kind.
+NO_WORD = pa.array(["", *(c for c in map(chr, range(0x3001)) if c.isspace())], pa.large_string())
+#: Byte that no UTF-8 has, as the vocabulary writes it.
+BORDER = "\xff"
+#: Letters that may be a unit together with an apostrophe before them.
+CONTRACTED = np.frombuffer(b"stmdrvl", np.uint8).astype(np.uint32)
+
+
+#: Kinds of characters, as the tokenizer's own units tell them apart.
+SPACE, BLANK, LETTER, NUMBER, OTHER, STRANGE = range(6)
+
+
+@cache
+def kinds() -> np.ndarray:
+    """Kind of each code point up to the last of the table, which stands for all beyond it as well.
+
+    Strange are characters whose category versions of Unicode do not agree on, and rare blanks.
+    """
+    table = np.full(1 << 16, STRANGE, np.uint8)
+    old = unicodedata.ucd_3_2_0
+    for i in range(len(table) - 1):
+        c = chr(i)
+        if c in BLANKS:
+            table[i] = SPACE if c == " " else BLANK
+        elif not c.isspace():
+            now, then = unicodedata.category(c)[0], old.category(c)[0]
+            if now == then and old.category(c) not in ("Cn", "Cs"):
+                table[i] = {"L": LETTER, "N": NUMBER}.get(now, OTHER)
+    return table
+
+
+@cache
+def byte_characters() -> np.ndarray:
+    """The character that a byte-level vocabulary writes for each byte: itself if it is visible, else one from 256 on."""
+    own = [33 <= b <= 126 or 161 <= b <= 172 or b >= 174 for b in range(256)]
+    others = iter(range(256, 512))
+    return np.array([b if own[b] else next(others) for b in range(256)], np.uint32)
+
+
+def gathered(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The stretches of ``ids`` one after the other."""
+    before = np.cumsum(counts) - counts
+    return ids[np.repeat(starts - before, counts) + np.arange(counts.sum())]
 
 
 class Encoder:
@@ -55,7 +110,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is the only one it may use
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -65,6 +120,24 @@ class Encoder:
             self.widths[i] = len(token)
             self.ends[i] = token[-1] in ".!?Ċ"
         self.reset()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # The same model takes units that are cut already and written in the vocabulary's characters, many in one text.
+        # Between them stands a byte that no UTF-8 has, so that no merge reaches across. A tokenizer with other units
+        # than ``kinds`` tells apart, or whose merges know that byte, gets all parts as they are.
+        model, cutter = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.border = vocabulary.get(BORDER, -1)
+        by_units = (
+            self.tokenizer.normalizer is None
+            and isinstance(cutter, pre_tokenizers.ByteLevel)
+            and cutter.use_regex
+            and not cutter.add_prefix_space
+            and isinstance(model, models.BPE)
+            and not (model.dropout or model.unk_token or model.ignore_merges or model.byte_fallback)
+            and not (model.continuing_subword_prefix or model.end_of_word_suffix)
+            and [t for t in vocabulary if BORDER in t] == [BORDER]
+        )
+        self.kinds = kinds() if by_units else np.full(1, STRANGE, np.uint8)
+        self.unit_tokenizer = Tokenizer(model)
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
@@ -80,48 +153,121 @@ class Encoder:
             return self.reset()
         parts = list(self.known)
         counts = self.counts[kept]
-        starts = np.cumsum(counts) - counts
-        self.ids = self.ids[np.repeat(self.starts[kept] - starts, counts) + np.arange(counts.sum())]
-        self.starts, self.counts, self.again = starts, counts, np.zeros(len(kept), bool)
+        self.ids = gathered(self.ids, self.starts[kept], counts)
+        self.starts, self.counts, self.again = np.cumsum(counts) - counts, counts, np.zeros(len(kept), bool)
         self.known = {parts[i]: k for k, i in enumerate(kept.tolist())}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return self._batches(self.tokenizer, texts)
+
+    def _batches(self, tokenizer: Tokenizer, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         for i in range(0, len(texts), AT_A_TIME):
-            encoded = self.tokenizer.encode_batch_fast(texts[i : i + AT_A_TIME], add_special_tokens=False)
+            encoded = tokenizer.encode_batch_fast(texts[i : i + AT_A_TIME], add_special_tokens=False)
             out += [np.array(e.ids, np.uint32) for e in encoded]
         return out
 
     def _learn(self, parts: list[str]) -> None:
-        """Encode new parts, each with a space before it, many in one text; widths tell whose tokens are whose."""
-        blocks = [parts[i : i + 500] for i in range(0, len(parts), 500)]
-        encoded = self.whole([" " + " ".join(b) for b in blocks])
-        flat = np.concatenate([self.ids, *encoded])
-        ends = np.cumsum(self.widths[np.concatenate(encoded)])
-        borders = np.cumsum([len(p.encode()) + 1 for p in parts])
-        last = np.searchsorted(ends, borders) + 1  # tokens up to and with the part
-        first = np.concatenate([[0], last[:-1]])
-        self.starts = np.concatenate([self.starts, first + len(self.ids)])
-        self.counts = np.concatenate([self.counts, last - first])
+        """Encode new parts, each with a space before it."""
+        ids, counts = self._encode_parts(parts)
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
         self.again = np.concatenate([self.again, np.zeros(len(parts), bool)])
-        self.ids = flat
+        self.ids = np.concatenate([self.ids, ids])
         self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
 
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts, each with a space before it, and the number of each."""
+        text = " " + " ".join(parts)
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        kind = self.kinds[np.minimum(code, len(self.kinds) - 1)]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        strange = kind == STRANGE
+        at = np.flatnonzero(code[:-1] == ord("'"))
+        strange[at[np.isin(code[at + 1], CONTRACTED)]] = True
+        for token in self.added:
+            i = text.find(token)
+            while i >= 0:
+                strange[i] = True
+                i = text.find(token, i + 1)
+        odd = np.logical_or.reduceat(strange, np.cumsum(sizes) - sizes)
+        if not odd.any():
+            return self._by_units(text, code, kind, sizes)
+
+        out: list[np.ndarray] = []
+        counts = np.empty(len(parts), np.int64)
+        if not odd.all():
+            rest = np.repeat(~odd, sizes)
+            text = code[rest].tobytes().decode("utf-32-le")
+            ids, counts[~odd] = self._by_units(text, code[rest], kind[rest], sizes[~odd])
+            out.append(ids)
+        alone = [parts[i] for i in np.flatnonzero(odd).tolist()]
+        blocks = [alone[i : i + 500] for i in range(0, len(alone), 500)]
+        encoded = self.whole([" " + " ".join(b) for b in blocks])
+        out += encoded
+        # widths tell whose tokens are whose
+        ends = np.cumsum(self.widths[np.concatenate(encoded)])
+        last = np.searchsorted(ends, np.cumsum([len(p.encode()) + 1 for p in alone])) + 1  # tokens up to and with the part
+        counts[odd] = np.diff(last, prepend=0)
+        # both in the order of the parts
+        order = np.argsort(odd, kind="stable")
+        starts = np.empty(len(parts), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return gathered(np.concatenate(out), starts, counts), counts
+
+    def _by_units(self, text: str, code: np.ndarray, kind: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the tokenizer's own units (a word, a number, a run of signs or blanks), each encoded once.
+
+        ``text`` holds the parts, ``sizes`` characters each with the space before them; no part starts with a blank.
+        """
+        border = np.ones(len(code), bool)
+        border[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != SPACE)
+        blank = kind == BLANK  # of a run of blanks before a word, the last is by itself
+        border[1:-1] |= blank[1:-1] & blank[:-2] & ~blank[2:] & (kind[2:] != SPACE)
+        at = np.flatnonzero(border)
+        raw = text.encode()
+        offsets = np.append(at, len(code))
+        if len(raw) > len(code):
+            offsets = np.concatenate([[0], np.cumsum(1 + (code >= 0x80) + (code >= 0x800))])[offsets]
+        units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw))
+        distinct = units.dictionary_encode()
+        pool, lengths = self._encode_units(distinct.dictionary)
+        index = distinct.indices.to_numpy(zero_copy_only=False)
+        counts = lengths[index]
+        first = np.searchsorted(at, np.cumsum(sizes) - sizes)
+        return gathered(pool, (np.cumsum(lengths) - lengths)[index], counts), np.add.reduceat(counts, first)
+
+    def _encode_units(self, units: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units and the number of each."""
+        offsets = np.frombuffer(units.buffers()[1], np.int64)[: len(units) + 1]
+        raw = np.frombuffer(units.buffers()[2], np.uint8)[: offsets[-1]]
+        text = np.insert(byte_characters()[raw], offsets[1:], ord(BORDER)).tobytes().decode("utf-32-le")
+        begin = (offsets + np.arange(len(offsets)))[:-1:200].tolist()
+        texts = [text[i:j] for i, j in zip(begin, [*begin[1:], len(text)], strict=True)]
+        ids = np.concatenate(self._batches(self.unit_tokenizer, texts))
+        own = ids != self.border
+        return ids[own], np.diff(np.flatnonzero(~own), prepend=-1) - 1
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, each text's followed by END, and the number of each text's ids."""
-        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        return next(self.blocks(pa.array(texts, pa.large_string()), [len(texts)]))
+
+    def blocks(self, texts: pa.LargeStringArray, until: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for blocks of texts, which end before the texts ``until``; the parts of all are looked up at once."""
+        parts = pc.split_pattern(texts, " ")
         offsets = parts.offsets.to_numpy()
         distinct = parts.flatten().dictionary_encode()
         words = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
         index = distinct.indices.to_numpy(zero_copy_only=False)
-        odd_word = np.array([not w or w[0].isspace() for w in words], bool)
-        first = np.zeros(len(index), bool)
-        first[offsets[:-1]] = True  # split() gives every text a part
-        odd_part = np.concatenate([[0], np.cumsum(odd_word[index] & ~first)])
-        plain = odd_part[offsets[1:]] == odd_part[offsets[:-1]]
+        odd_word = pc.is_in(pc.utf8_slice_codeunits(distinct.dictionary, 0, 1), NO_WORD).to_numpy(zero_copy_only=False)
+        keep = np.ones(len(index), bool)
+        keep[offsets[:-1]] = False  # first parts; split() gives every text one
+        odd_part = odd_word[index] & keep
+        plain = ~np.logical_or.reduceat(odd_part, offsets[:-1]) if len(texts) else np.empty(0, bool)
+        keep &= np.repeat(plain, np.diff(offsets))
 
         used = np.zeros(len(words), bool)
-        used[index[~first & np.repeat(plain, np.diff(offsets))]] = True
+        used[index[keep]] = True
         if len(self.known) > CACHE:
             self._forget()
         place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
@@ -130,24 +276,25 @@ class Encoder:
         if len(new):
             place[new] = len(self.known) + np.arange(len(new))
             self._learn([words[i] for i in new.tolist()])
-
-        # first parts have no space before them, odd texts are whole: these are encoded by themselves
-        heads = self.whole([words[index[o]] if p else t for o, p, t in zip(offsets[:-1], plain, texts, strict=True)])
-        head_counts = np.array([len(h) for h in heads], np.int64)
-        keep = ~first & np.repeat(plain, np.diff(offsets))
-        text_of = np.repeat(np.arange(len(texts)), np.diff(offsets))
-        # rows of the output: per text its head, its other parts, the end token
-        pool = np.concatenate([self.ids, *heads, np.array([END], np.uint32)])
-        head_starts = len(self.ids) + np.cumsum(head_counts) - head_counts
-        tail = place[index[keep]]
-        n = len(texts)
-        owner = np.concatenate([np.arange(n), text_of[keep], np.arange(n)])
-        order = np.argsort(owner, kind="stable")
-        starts = np.concatenate([head_starts, self.starts[tail], np.full(n, len(pool) - 1)])[order]
-        counts = np.concatenate([head_counts, self.counts[tail], np.ones(n, np.int64)])[order]
-        before = np.cumsum(counts) - counts
-        ids = pool[np.repeat(starts - before, counts) + np.arange(counts.sum())]
-        return ids, np.bincount(owner[order], counts, n).astype(np.int64)
+        firsts = [words[i] for i in index[offsets[:-1]].tolist()]
+        del parts, distinct, words  # the blocks need no more than the places
+
+        for begin, end in zip([0, *until], until, strict=False):
+            # first parts have no space before them, odd texts are whole: these are encoded by themselves
+            heads = self.whole([firsts[i] if plain[i] else texts[i].as_py() for i in range(begin, end)])
+            head_counts = np.array([len(h) for h in heads], np.int64)
+            span = slice(offsets[begin], offsets[end])
+            n = end - begin
+            text_of = np.repeat(np.arange(n), np.diff(offsets[begin : end + 1]))[keep[span]]
+            # rows of the output: per text its head, its other parts, the end token
+            pool = np.concatenate([self.ids, *heads, np.array([END], np.uint32)])
+            head_starts = len(self.ids) + np.cumsum(head_counts) - head_counts
+            tail = place[index[span][keep[span]]]
+            owner = np.concatenate([np.arange(n), text_of, np.arange(n)])
+            order = np.argsort(owner, kind="stable")
+            starts = np.concatenate([head_starts, self.starts[tail], np.full(n, len(pool) - 1)])[order]
+            counts = np.concatenate([head_counts, self.counts[tail], np.ones(n, np.int64)])[order]
+            yield gathered(pool, starts, counts), np.bincount(owner[order], counts, n).astype(np.int64)
 
 
 def places_to_cut(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -276,15 +423,21 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, with_ids: bool = Fal
         for batch in batches:
             texts = batch.column(1)
             sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+            ends: list[int] = []  # of the blocks that are turned into ids at a time
             begin = 0
-            while begin < len(texts):  # only a part of the batch is turned into strings at a time
+            while begin < len(texts):
                 before = sizes[begin - 1] if begin else 0
-                end = max(begin + 1, int(np.searchsorted(sizes, before + CHARS, "right")))
-                ids, counts = encoder.encode([t or "" for t in texts.slice(begin, end - begin).to_pylist()])
-                packer.add(ids, batch.column(0).slice(begin, end - begin).to_pylist(), counts)
-                begin = end
-                if len(packer.ids) >= SEGMENT:
-                    yield packer.flush(last=False)
+                begin = max(begin + 1, int(np.searchsorted(sizes, before + CHARS, "right")))
+                ends.append(begin)
+            for k in range(0, len(ends), LOOKED_UP):
+                begin = ends[k - 1] if k else 0
+                until = ends[k : k + LOOKED_UP]
+                some = pc.fill_null(texts.slice(begin, until[-1] - begin), "").cast(pa.large_string())
+                for ids, counts in encoder.blocks(some, [e - begin for e in until]):
+                    packer.add(ids, batch.column(0).slice(begin, len(counts)).to_pylist(), counts)
+                    begin += len(counts)
+                    if len(packer.ids) >= SEGMENT:
+                        yield packer.flush(last=False)
         yield packer.flush(last=True)
 
     schema = ", ".join(f"{f} long" for f in FIELDS) + (", ids binary" if with_ids else "")

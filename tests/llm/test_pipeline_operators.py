@@ -350,6 +350,62 @@ def test_encoder_equals_the_tokenizer():
     assert ids.tolist() == [i for x in expected for i in x]
 
 
+def test_every_character_is_cut_as_the_tokenizer_cuts():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    rng = random.Random(11)
+    signs = "ab1²é.-'\n\t\x85\xa0\u0301中😀<|"
+    words = ["<|endoftext|>", "it's", "l'eau", "x\n\ny", "x\n\n", "'t", "''s", "1's", "ÿ", "a\x0bb", "\u0301x"]
+    words += ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 9))) for _ in range(4000)]
+    rows = [" ".join(["x", *words[i : i + 8]]) for i in range(0, len(words), 8)]
+    rows += [f"x a{c}a1{c}1.{c}. y{c} z" for c in map(chr, range(0x20000)) if not 0xD800 <= ord(c) < 0xE000]
+    encoder = packing.Encoder(path)
+    assert (encoder.kinds < packing.STRANGE).sum() > 40_000  # most of these characters are cut here
+    ids, counts = encoder.encode(rows)
+    expected = [e.ids + [1] for e in Tokenizer.from_file(path).encode_batch(rows, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, expected))
+    assert ids.tolist() == [i for x in expected for i in x]
+
+
+class Counting:
+    """A tokenizer that counts the characters it gets."""
+
+    def __init__(self, tokenizer, seen):
+        self.tokenizer, self.seen = tokenizer, seen
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen.append(sum(map(len, texts)))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_are_encoded_once_whatever_signs_follow():
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(300)]
+    encoder, seen = packing.Encoder(tokenizer_path("byte_bpe_50k.json")), []
+    plain = encoder.tokenizer
+    for name, value in list(vars(encoder).items()):
+        if hasattr(value, "encode_batch_fast"):
+            setattr(encoder, name, Counting(value, seen))
+    text = " ".join(["x", *(w + s for s in ("", ".", ",", "!!", ").\n12") for w in words)])
+    ids, _ = encoder.encode([text])
+    assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, packing.END]
+    assert sum(seen) < 1.3 * sum(len(w) + 1 for w in words)
+
+
+def test_blocks_looked_up_together_equal_single_ones():
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    rows = [" ".join(rng.choice(("one", "two,", "é.\nx", "", "it's")) for _ in range(rng.randrange(12))) for _ in range(40)]
+    path = tokenizer_path("byte_bpe_50k.json")
+    until = [1, 9, 10, 40]
+    together = packing.Encoder(path).blocks(pa.array(rows, pa.large_string()), until)
+    for begin, end, (ids, counts) in zip([0, *until], until, together, strict=False):
+        own_ids, own_counts = packing.Encoder(path).encode(rows[begin:end])
+        assert ids.tolist() == own_ids.tolist() and counts.tolist() == own_counts.tolist()
+
+
 def test_cuts_are_the_best():
     rng = random.Random(8)
     for _ in range(50):
