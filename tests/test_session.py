@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from retalake.session import Scratch, session_conf, shared_folder, together
 
@@ -68,3 +70,20 @@ def test_blocks_that_overlap_share_an_option(spark):
 
 def test_together_keeps_the_order(spark):
     assert together(spark, [lambda i=i: spark.range(i).count() for i in (3, 1, 2)]) == [3, 1, 2]
+
+
+def test_shuffles_of_a_saved_table_are_gone(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in blocks.getAllFiles().mkString(" ").split() if "shuffle_" in f}
+
+    before = shuffled()
+    with Scratch(spark) as scratch:
+        saved = scratch.save(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+        for _ in range(50):  # they are removed in the background
+            if not (left := shuffled() - before):
+                break
+            time.sleep(0.1)
+        assert not left
+        assert saved.count() == 10
