@@ -392,3 +392,30 @@ def test_ids_stay_when_keys_come_and_go(spark, lake, tmp_path):
     assert ids("ana", "carla") == {"ana": 2, "carla": 3}
     assert ids("bia", "carla", "zoe") == {"bia": 0, "carla": 3, "zoe": 4}
     assert spark.sql(f"SHOW PARTITIONS {lake.database}.dim_canal_versoes").count() == 2
+
+
+def test_a_load_takes_a_bounded_number_of_bytes(spark, lake, tmp_path):
+    landing = tmp_path / "landing"
+    land_all(landing)
+    taken = run_batch(spark, str(landing), lake, stamped=False, max_bytes=1).collect()
+    assert {r.arquivo_de_origem: r.linhas for r in taken} == {name: n for name, (n, _) in COUNTS.items()}
+    assert sorted(r.carga for r in taken) == list(range(1, len(COUNTS) + 1))
+    assert spark.table(f"{lake.database}.{FACT_TABLE}").count() == sum(n - extra for n, extra in COUNTS.values())
+
+
+def test_a_stream_s_load_takes_a_bounded_number_of_bytes(spark, lake, tmp_path):
+    landing = tmp_path / "landing"
+    land_all(landing)
+    run_stream(spark, str(landing), lake, f"{tmp_path}/checkpoint", stamped=False, max_bytes=1).awaitTermination()
+    assert sorted(r.carga for r in ledger(spark, lake).collect()) == list(range(1, len(COUNTS) + 1))
+    assert spark.table(f"{lake.database}.{STAGING_TABLE}").count() == sum(n - extra for n, extra in COUNTS.values())
+
+
+def test_files_of_one_source_are_in_one_load(spark, lake, tmp_path):
+    landing = tmp_path / "landing"
+    write_csv(landing / "registros_a.csv", [sale(), sale(valor="1")])
+    write_csv(landing / "registros_b.csv", [sale()])
+    write_csv(landing / "registros_a.txt", [sale(valor="2")])
+    run_batch(spark, str(landing), lake, files="registros_*", stamped=False, max_bytes=1)
+    counts = spark.table(f"{lake.database}.{STAGING_TABLE}").groupBy("arquivo_de_origem").count().collect()
+    assert {tuple(r) for r in counts} == {("registros_a", 3), ("registros_b", 1)}
