@@ -10,7 +10,8 @@ from landed import bronze, sale
 from pyspark.sql import functions as F
 
 from retalake import build_fact, to_gold, to_silver
-from retalake.operators import checks
+from retalake.operators import checks, star
+from retalake.operators.silver import across_files
 from retalake.operators.star import build_dim, written_dims
 from retalake.plans.queries import all_queries
 from retalake.plans.sales import raw_sales
@@ -218,3 +219,40 @@ def test_shuffles_of_a_layer_are_gone_after_it_is_written(spark, tmp_path):
     while shuffles() - before and time.time() < end:
         time.sleep(0.2)
     assert not shuffles() - before
+
+
+def test_sales_written_after_the_joins_are_the_same(spark):
+    with Scratch(spark) as scratch:
+        written = raw_sales(spark, SF_DIR, scratch)
+        lazy = raw_sales(spark, SF_DIR)
+        assert written.columns == lazy.columns
+        assert written.exceptAll(lazy).isEmpty() and lazy.exceptAll(written).isEmpty()
+        assert "Join" not in plan(written)
+
+
+def test_lookups_that_multiply_sales_come_last(spark, gold, monkeypatch):
+    with Scratch(spark) as scratch:
+        dims = written_dims(gold, scratch)
+        looked, lookup = [], star._lookup
+        monkeypatch.setattr(star, "_lookup", lambda sales, rows, dim, legacy: looked.append(dim.table) or lookup(sales, rows, dim, legacy))
+        build_fact(gold, dims, legacy_keys=True)
+    assert len(looked) == len(DIMENSIONS)
+    assert looked[-2:] == ["dim_cliente", "dim_desconto"]
+
+
+def test_few_contacts_are_broadcast_whatever_the_threshold(spark, gold):
+    with Scratch(spark) as scratch, session_conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        fact = build_fact(gold, written_dims(gold, scratch), complete=True)
+        assert plan(fact).count("BroadcastHashJoin") == 1  # of the seven, only contacts have a key of several texts
+
+
+def test_copies_across_files_are_the_same_slice_by_slice(spark):
+    new = to_silver(bronze(spark, *(sale(valor=str(k)) for k in range(40)), source="b"))
+    new = new.union(to_silver(bronze(spark, *(sale(valor=str(k), vendedor=None) for k in range(20)), source="c")))
+    new = new.union(to_silver(bronze(spark, *(sale(valor=str(k)) for k in range(30, 50)), source="a")))
+    history = to_silver(bronze(spark, *(sale(valor=str(k)) for k in range(5)), source="old"))
+    whole = across_files(new, history)
+    with Scratch(spark) as scratch:
+        sliced = across_files(new, history, scratch)
+        assert sorted(sliced.collect(), key=str) == sorted(whole.collect(), key=str)
+        assert whole.count() == 50 - 5 + 20
